@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,19 +80,23 @@ class Lake:
         path = f"{self.root}/bronze"
         types = list(types)
         for kind in types:
-            rows = testbed.bronze_of(self.spark, self.sf_dir, kind)
             part = f"{path}/resource_type={kind}"
-            self._once(
-                part,
-                lambda rows=rows, part=part: rows.drop("resource_type")
-                .write.mode("overwrite")
-                .parquet(part),
-            )
+            self._once(part, lambda kind=kind, part=part: self._write_type(kind, part))
         bronze = read_bronze(self.spark, path)
         return bronze.filter(F.col("resource_type").isin(*types)).select(
             *BRONZE_COLUMNS
         )
 
+    def _write_type(self, kind: str, path: str) -> None:
+        rows = testbed.bronze_of(self.spark, self.sf_dir, kind)
+        rows.drop("resource_type").write.mode("overwrite").parquet(path)
+
+    def stored(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A small derived table, written on first use."""
+        path = f"{self.root}/stored/{label}"
+        self._once(label, lambda: build().write.mode("overwrite").parquet(path))
+        return self.spark.read.parquet(path)
+
     def silver(self, name: str) -> DataFrame:
         def build() -> None:
             bronze = self.bronze([silver_table(name).resource_type])
@@ -132,11 +136,12 @@ class Lake:
 def write_landing(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Write every resource family as ``<family>[-NNNNN].ndjson.gz``.
 
-    Spark writes the compressed parts; the driver only renames them.
+    Order and medication links all resolve here, so that a whole run gets past
+    its Silver check. Spark writes the compressed parts; the driver renames them.
     """
     work = f"{path}-parts"
     for kind in RESOURCE_TYPES:
-        lines = testbed.source_lines(spark, sf_dir, kind)
+        lines = testbed.source_lines(spark, sf_dir, kind, dangling=False)
         family = F.regexp_replace("source_file", r"\.ndjson\.gz$", "")
         lines.select(family.alias("family"), "value").write.mode("append").partitionBy(
             "family"

@@ -429,8 +429,9 @@ def medications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests(spark: SparkSession, sf_dir: str, dangling: bool = True) -> DataFrame:
     k = F.col("o_orderkey")
+    broken = every(k, 331) & F.lit(dangling)
     even = every(k, 2)
     drug = k % 40
     inline = (
@@ -482,7 +483,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             even,
             ref(
                 "Medication",
-                F.when(every(k, 331), "m-x").otherwise(cat("m-", k % 200)),
+                F.when(broken, "m-x").otherwise(cat("m-", k % 200)),
             ),
         ),
         medicationCodeableConcept=inline,
@@ -498,8 +499,11 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def administrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def administrations(
+    spark: SparkSession, sf_dir: str, dangling: bool = True
+) -> DataFrame:
     part, number = F.col("l_partkey"), F.col("l_linenumber")
+    broken = every(part, 67) & F.lit(dangling)
     at = text(iso(F.col("l_shipdate"), "-05:00"))
     until = text(
         iso(shifted(F.col("l_shipdate"), F.lit(2), F.lit(30)), "-05:00")
@@ -524,7 +528,7 @@ def administrations(spark: SparkSession, sf_dir: str) -> DataFrame:
             every(part, 7),
             ref(
                 "MedicationRequest",
-                F.when(every(part, 67), "r-x").otherwise(
+                F.when(broken, "r-x").otherwise(
                     cat("r-", F.col("l_orderkey"))
                 ),
             ),
@@ -652,7 +656,7 @@ def procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+BUILDERS: dict[str, Callable[..., DataFrame]] = {
     "Patient": patients,
     "Encounter": encounters,
     "Observation": observations,
@@ -666,9 +670,16 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def source_lines(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
+# Types with order or medication links that may be left dangling.
+LINKED = ("MedicationRequest", "MedicationAdministration")
+
+
+def source_lines(
+    spark: SparkSession, sf_dir: str, resource_type: str, dangling: bool = True
+) -> DataFrame:
     """``resource_type, source_file, value``: the source text of one type."""
-    return BUILDERS[resource_type](spark, sf_dir)
+    options = {} if dangling or resource_type not in LINKED else {"dangling": False}
+    return BUILDERS[resource_type](spark, sf_dir, **options)
 
 
 def bronze_of(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
