@@ -341,199 +341,198 @@ def _(k: Lake) -> DataFrame:
 R = silver.R
 
 
-def extraction(name: str, resource_type: str, key: str, **columns) -> None:
-    """Register a query that applies extraction rules to every resource of a type."""
+def extraction(name: str, resource_type: str, key: str):
+    """Register a query that applies extraction rules to every resource of a type.
 
-    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = silver.parsed(lake(spark, sf_dir).bronze([resource_type]), resource_type)
-        return rows.select(
-            R["id"].alias(key), *[c.alias(n) for n, c in columns.items()]
-        )
+    The decorated function returns the extracted columns by name.
+    """
 
-    QUERIES[name] = build
+    def add(columns: Callable[[], dict]) -> Callable:
+        def build(k: Lake) -> DataFrame:
+            rows = silver.parsed(k.bronze([resource_type]), resource_type)
+            return rows.select(
+                R["id"].alias(key), *[c.alias(n) for n, c in columns().items()]
+            )
 
+        on_lake(name)(build)
+        return columns
 
-extraction("ext_1_scalar_text", "Encounter", "encounter_id", status=R["status"])
-extraction(
-    "ext_2_reference_tail",
-    "MedicationRequest",
-    "medication_request_id",
-    medication_id=reference_tail(
-        F.get_json_object(R["medicationReference"], "$.reference")
-    ),
-)
-extraction(
-    "ext_3_reference_node",
-    "Encounter",
-    "encounter_id",
-    patient_id=fhir.reference_id(R["subject"]),
-)
-extraction(
-    "ext_4_reference_list",
-    "MedicationDispense",
-    "medication_dispense_id",
-    request_ids=F.array_join(fhir.reference_ids(R["authorizingPrescription"]), ","),
-)
-extraction(
-    "ext_5_first_identifier",
-    "Patient",
-    "patient_id",
-    source_patient_identifier=fhir.first_identifier_value(R["identifier"]),
-)
-extraction(
-    "ext_6_first_family_name",
-    "Patient",
-    "patient_id",
-    synthetic_patient_name=fhir.first_family_name(R["name"]),
-)
-extraction(
-    "ext_7_first_coding",
-    "Patient",
-    "patient_id",
-    marital_status_code=fhir.first_coding(R["maritalStatus"])["code"],
-)
-extraction(
-    "ext_8_first_coding_in_list",
-    "Observation",
-    "observation_id",
-    category_code=fhir.first_coding_in_list(R["category"])["code"],
-)
-_code = fhir.coding_fields(fhir.first_coding(R["code"]))
-extraction(
-    "ext_9_coding_fields",
-    "Observation",
-    "observation_id",
-    code=_code["code"],
-    code_system=_code["system"],
-    display=_code["display"],
-)
-extraction(
-    "ext_10_concept_text",
-    "MedicationDispense",
-    "medication_dispense_id",
-    medication_text=R["medicationCodeableConcept"]["text"],
-)
-_concept = fhir.concept_fields(R["code"])
-extraction(
-    "ext_11_concept_fields",
-    "Procedure",
-    "procedure_id",
-    procedure_code=_concept["code"],
-    procedure_code_system=_concept["system"],
-    procedure_display=_concept["display"],
-)
-extraction(
-    "ext_12_coding_without_fallback",
-    "Condition",
-    "condition_id",
-    code=_code["code"],
-    code_system=_code["system"],
-    display=_code["display"],
-)
-extraction(
-    "ext_13_extension_by_url",
-    "Patient",
-    "patient_id",
-    has_race=fhir.extension_by_url(R["extension"], fhir.RACE_URL).isNotNull(),
-    has_birth_sex=fhir.extension_by_url(R["extension"], fhir.BIRTH_SEX_URL).isNotNull(),
-)
-extraction(
-    "ext_14_extension_text",
-    "Patient",
-    "patient_id",
-    **{
+    return add
+
+
+def fields(struct, *names: str) -> dict:
+    return {name: struct[name] for name in names}
+
+
+@extraction("ext_1_scalar_text", "Encounter", "encounter_id")
+def _():
+    return {"status": R["status"]}
+
+
+@extraction("ext_2_reference_tail", "MedicationRequest", "medication_request_id")
+def _():
+    reference = F.get_json_object(R["medicationReference"], "$.reference")
+    return {"medication_id": reference_tail(reference)}
+
+
+@extraction("ext_3_reference_node", "Encounter", "encounter_id")
+def _():
+    return {"patient_id": fhir.reference_id(R["subject"])}
+
+
+@extraction("ext_4_reference_list", "MedicationDispense", "medication_dispense_id")
+def _():
+    ids = fhir.reference_ids(R["authorizingPrescription"])
+    return {"request_ids": F.array_join(ids, ",")}
+
+
+@extraction("ext_5_first_identifier", "Patient", "patient_id")
+def _():
+    return {"source_patient_identifier": fhir.first_identifier_value(R["identifier"])}
+
+
+@extraction("ext_6_first_family_name", "Patient", "patient_id")
+def _():
+    return {"synthetic_patient_name": fhir.first_family_name(R["name"])}
+
+
+@extraction("ext_7_first_coding", "Patient", "patient_id")
+def _():
+    return {"marital_status_code": fhir.first_coding(R["maritalStatus"])["code"]}
+
+
+@extraction("ext_8_first_coding_in_list", "Observation", "observation_id")
+def _():
+    return {"category_code": fhir.first_coding_in_list(R["category"])["code"]}
+
+
+def code_fields() -> dict:
+    coding = fhir.coding_fields(fhir.first_coding(R["code"]))
+    return {
+        "code": coding["code"],
+        "code_system": coding["system"],
+        "display": coding["display"],
+    }
+
+
+extraction("ext_9_coding_fields", "Observation", "observation_id")(code_fields)
+extraction("ext_12_coding_without_fallback", "Condition", "condition_id")(code_fields)
+
+
+@extraction("ext_10_concept_text", "MedicationDispense", "medication_dispense_id")
+def _():
+    return {"medication_text": R["medicationCodeableConcept"]["text"]}
+
+
+@extraction("ext_11_concept_fields", "Procedure", "procedure_id")
+def _():
+    concept = fhir.concept_fields(R["code"])
+    return {
+        "procedure_code": concept["code"],
+        "procedure_code_system": concept["system"],
+        "procedure_display": concept["display"],
+    }
+
+
+@extraction("ext_13_extension_by_url", "Patient", "patient_id")
+def _():
+    return {
+        name: fhir.extension_by_url(R["extension"], url).isNotNull()
+        for name, url in (
+            ("has_race", fhir.RACE_URL),
+            ("has_birth_sex", fhir.BIRTH_SEX_URL),
+        )
+    }
+
+
+@extraction("ext_14_extension_text", "Patient", "patient_id")
+def _():
+    return {
         name: fhir.extension_text(fhir.extension_by_url(R["extension"], url))
         for name, url in (
             ("race", fhir.RACE_URL),
             ("ethnicity", fhir.ETHNICITY_URL),
             ("birth_sex", fhir.BIRTH_SEX_URL),
         )
-    },
-)
-_quantity = fhir.quantity_fields(R["valueQuantity"])
-extraction(
-    "ext_15_quantity",
-    "Observation",
-    "observation_id",
-    value=_quantity["value"],
-    unit=_quantity["unit"],
-)
-_period = fhir.period_fields(R["period"])
-extraction(
-    "ext_16_period",
-    "Encounter",
-    "encounter_id",
-    start_datetime=_period["start"],
-    end_datetime=_period["end"],
-)
-_window = fhir.effective_window(R)
-extraction(
+    }
+
+
+@extraction("ext_15_quantity", "Observation", "observation_id")
+def _():
+    return fields(fhir.quantity_fields(R["valueQuantity"]), "value", "unit")
+
+
+@extraction("ext_16_period", "Encounter", "encounter_id")
+def _():
+    period = fhir.period_fields(R["period"])
+    return {"start_datetime": period["start"], "end_datetime": period["end"]}
+
+
+@extraction(
     "ext_17_effective_window",
     "MedicationAdministration",
     "medication_administration_id",
-    effective_start_datetime=_window["start"],
-    effective_end_datetime=_window["end"],
-)
-_dose = fhir.dosage_dose(fhir.first_dosage(R["dosageInstruction"]))
-extraction(
-    "ext_18_dosage_dose",
-    "MedicationRequest",
-    "medication_request_id",
-    dose_value=_dose["value"],
-    dose_unit=_dose["unit"],
-)
-_dosage = fhir.dosage_summary(fhir.first_dosage(R["dosageInstruction"]))
-extraction(
-    "ext_19_dosage_summary",
-    "MedicationRequest",
-    "medication_request_id",
-    **{
-        name: _dosage[name]
-        for name in (
-            "route_code",
-            "route_display",
-            "dose_value",
-            "dose_unit",
-            "frequency",
-            "period",
-            "period_unit",
-        )
-    },
 )
-_given = fhir.administration_dosage(R["dosage"])
-extraction(
+def _():
+    window = fhir.effective_window(R)
+    return {
+        "effective_start_datetime": window["start"],
+        "effective_end_datetime": window["end"],
+    }
+
+
+@extraction("ext_18_dosage_dose", "MedicationRequest", "medication_request_id")
+def _():
+    dose = fhir.dosage_dose(fhir.first_dosage(R["dosageInstruction"]))
+    return {"dose_value": dose["value"], "dose_unit": dose["unit"]}
+
+
+@extraction("ext_19_dosage_summary", "MedicationRequest", "medication_request_id")
+def _():
+    return fields(
+        fhir.dosage_summary(fhir.first_dosage(R["dosageInstruction"])),
+        "route_code",
+        "route_display",
+        "dose_value",
+        "dose_unit",
+        "frequency",
+        "period",
+        "period_unit",
+    )
+
+
+@extraction(
     "ext_20_administration_dosage",
     "MedicationAdministration",
     "medication_administration_id",
-    **{
-        name: _given[name]
-        for name in ("dose_value", "dose_unit", "method_code", "method_display")
-    },
-)
-extraction(
-    "ext_21_list_length",
-    "Medication",
-    "medication_id",
-    identifier_count=fhir.list_length(R["identifier"]),
-    ingredient_count=fhir.list_length(R["ingredient"]),
-)
-extraction(
-    "ext_22_identifier_by_system",
-    "Medication",
-    "medication_id",
-    medication_name=fhir.identifier_value_for(
-        R["identifier"], fhir.MEDICATION_NAME_SYSTEM
-    ),
-)
-_value = fhir.observation_value(R)
-extraction(
-    "ext_23_observation_value",
-    "Observation",
-    "observation_id",
-    value_type=_value["value_type"],
-    value=_value["value"],
-    unit=_value["unit"],
 )
+def _():
+    return fields(
+        fhir.administration_dosage(R["dosage"]),
+        "dose_value",
+        "dose_unit",
+        "method_code",
+        "method_display",
+    )
+
+
+@extraction("ext_21_list_length", "Medication", "medication_id")
+def _():
+    return {
+        "identifier_count": fhir.list_length(R["identifier"]),
+        "ingredient_count": fhir.list_length(R["ingredient"]),
+    }
+
+
+@extraction("ext_22_identifier_by_system", "Medication", "medication_id")
+def _():
+    system = fhir.MEDICATION_NAME_SYSTEM
+    return {"medication_name": fhir.identifier_value_for(R["identifier"], system)}
+
+
+@extraction("ext_23_observation_value", "Observation", "observation_id")
+def _():
+    return fields(fhir.observation_value(R), "value_type", "value", "unit")
 
 
 @on_lake("ext_24_source_system")

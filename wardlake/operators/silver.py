@@ -14,8 +14,18 @@ from wardlake.plans.registry import SILVER_TABLES, silver_table
 from wardlake.sources.bronze import bronze_records
 from wardlake.sources.tables import as_layout
 
-R = F.col("r")
-FAMILY = F.col("resource_family")
+
+
+class _Resource:
+    """The parsed resource column ``r``; nodes are looked up when asked for."""
+
+    def getField(self, name: str) -> Column:  # noqa: N802 - same as Column
+        return F.col("r").getField(name)
+
+    __getitem__ = getField
+
+
+R = _Resource()
 
 
 def lineage() -> list[Column]:
@@ -143,7 +153,7 @@ def medication(bronze: DataFrame) -> DataFrame:
         medication_text=concept["text"],
         form_code=form["code"],
         form_display=form["display"],
-        is_mix=F.coalesce(FAMILY == fhir.MIX_FAMILY, F.lit(False)) | (ingredients > 0),
+        is_mix=F.coalesce(F.col("resource_family") == fhir.MIX_FAMILY, F.lit(False)) | (ingredients > 0),
         identifier_count=fhir.list_length(R["identifier"]),
         ingredient_count=ingredients,
     )
@@ -281,7 +291,7 @@ def medication_administration(bronze: DataFrame) -> DataFrame:
         method_code=dosage["method_code"],
         method_display=dosage["method_display"],
         source_system=fhir.source_system(
-            FAMILY, fhir.ADMINISTRATION_FAMILIES, "hospital"
+            F.col("resource_family"), fhir.ADMINISTRATION_FAMILIES, "hospital"
         ),
         has_request_reference=request_id.isNotNull(),
         has_encounter_context=encounter_id.isNotNull(),
@@ -317,7 +327,7 @@ def medication_dispense(bronze: DataFrame) -> DataFrame:
         frequency=dosage["frequency"],
         period=dosage["period"],
         period_unit=dosage["period_unit"],
-        source_system=fhir.source_system(FAMILY, fhir.DISPENSE_FAMILIES, "inpatient"),
+        source_system=fhir.source_system(F.col("resource_family"), fhir.DISPENSE_FAMILIES, "inpatient"),
         has_request_reference=F.size("requests") > 0,
     )
 
@@ -361,7 +371,7 @@ def procedure(bronze: DataFrame) -> DataFrame:
         procedure_display=concept["display"],
         body_site_code=body_site["code"],
         body_site_display=body_site["display"],
-        source_system=fhir.source_system(FAMILY, fhir.PROCEDURE_FAMILIES, "hospital"),
+        source_system=fhir.source_system(F.col("resource_family"), fhir.PROCEDURE_FAMILIES, "hospital"),
     )
 
 
