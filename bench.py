@@ -20,6 +20,7 @@ from wardlake.harness import testbed  # noqa: E402
 from wardlake.harness.stage import lake  # noqa: E402
 from wardlake.operators import marts  # noqa: E402
 from wardlake.plans.job import run_pipeline  # noqa: E402
+from wardlake.sources.tables import run_together  # noqa: E402
 
 MARTS = (
     marts.encounters_by_class,
@@ -47,6 +48,8 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "32")
+        .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -61,10 +64,10 @@ def main() -> None:
     rows = {step.name: step.rows for step in run.steps}
 
     started = time.perf_counter()
-    gold = run.gold()
-    for mart in MARTS:
-        mart(gold).collect()
-    marts.top_conditions(run.silver()).collect()
+    gold, silver = run.gold(), run.silver()
+    reports = {mart.__name__: lambda m=mart: m(gold).collect() for mart in MARTS}
+    reports["top_conditions"] = lambda: marts.top_conditions(silver).collect()
+    run_together(reports)
     seconds["marts"] = round(time.perf_counter() - started, 3)
 
     total = round(sum(seconds.values()), 3)

@@ -237,7 +237,8 @@ def effective_window(resource: Column) -> Column:
 def observation_value(resource: Column) -> Column:
     """Kind, text and unit of an observation's result."""
     nothing = F.lit(None).cast("string")
-    quantity = quantity_fields(resource.getField("valueQuantity"))
+    source = resource.getField("valueQuantity")
+    quantity = quantity_fields(source)
     text = resource.getField("valueString")
     component = F.regexp_replace(resource.getField("component"), r"\s", "")
 
@@ -250,7 +251,7 @@ def observation_value(resource: Column) -> Column:
 
     return (
         F.when(
-            quantity.getField("value").isNotNull(),
+            source.getField("value").isNotNull(),
             value("quantity", quantity.getField("value"), quantity.getField("unit")),
         )
         .when(text.isNotNull(), value("string", text, nothing))

@@ -99,8 +99,11 @@ def number_text(text: Column) -> Column:
         .when((power >= 7) & (power <= 15), large)
         .otherwise(short)
     )
+    # Nearly all numbers are plain: two cheap tests decide before any pattern.
+    special = F.contains(text, F.lit("E")) | F.endswith(text, F.lit('Infinity"'))
     return (
-        F.when(text.rlike(_JAVA_EXPONENT), plain)
+        F.when(~special, text)
+        .when(text.rlike(_JAVA_EXPONENT), plain)
         .when(text == '"Infinity"', F.lit("inf"))
         .when(text == '"-Infinity"', F.lit("-inf"))
         .otherwise(text)

@@ -694,7 +694,7 @@ def _(k: Lake) -> DataFrame:
 
 @on_lake("prv_3_column_findings")
 def _(k: Lake) -> DataFrame:
-    return privacy.column_findings(k.spark, k.silver_tables())
+    return privacy.column_findings(k.spark, k.silver_tables(), with_population=True)
 
 
 @on_lake("prv_4_pattern_matches")
@@ -728,7 +728,7 @@ def _(k: Lake) -> DataFrame:
 
 @on_lake("prv_8_classification_counts")
 def _(k: Lake) -> DataFrame:
-    findings = privacy.column_findings(k.spark, k.silver_tables())
+    findings = privacy.column_findings(k.spark, k.silver_tables(), with_population=True)
     return privacy.classification_counts(findings)
 
 

@@ -26,7 +26,7 @@ from wardlake.plans.registry import (
     MEDICATION_EVENTS,
     gold_table,
 )
-from wardlake.sources.tables import as_layout
+from wardlake.sources.tables import as_layout, union_all
 
 Tables = Mapping[str, DataFrame]
 
@@ -68,10 +68,9 @@ def encounter_activity(silver: Tables) -> DataFrame:
     It is folded per concept first and per encounter second; distinct concepts
     are then plain row counts and no distinct aggregate is needed.
     """
-    nothing = F.lit("")
     medication = concept_key("medication_code", "medication_display")
     streams = [
-        ("observation", "observation", nothing),
+        ("observation", "observation", F.lit(None).cast("string")),
         ("condition", "condition", concept_key("code", "display")),
         *[(t.name, "medication", medication) for t in MEDICATION_EVENTS],
         (
@@ -80,23 +79,33 @@ def encounter_activity(silver: Tables) -> DataFrame:
             concept_key("procedure_code", "procedure_display"),
         ),
     ]
-    kinds = [name for name, _, _ in streams]
-    events = None
-    for name, domain, concept in streams:
-        stream = silver[name].filter(F.col("encounter_id").isNotNull()).select(
-            "encounter_id",
-            F.lit(name).alias("kind"),
-            F.lit(domain).alias("domain"),
-            concept.alias("concept"),
-        )
-        events = stream if events is None else events.unionByName(stream)
+    kinds = {name: number for number, (name, _, _) in enumerate(streams)}
+    domains = {"observation": 0, "condition": 1, "medication": 2, "procedure": 3}
+    events = union_all(
+        [
+            silver[name]
+            .filter(F.col("encounter_id").isNotNull())
+            .select(
+                "encounter_id",
+                F.lit(kinds[name]).alias("kind"),
+                F.lit(domains[domain]).alias("domain"),
+                concept.alias("concept"),
+            )
+            for name, domain, concept in streams
+        ]
+    )
     per_concept = events.groupBy("encounter_id", "domain", "concept").agg(
-        *[F.count_if(F.col("kind") == kind).alias(f"{kind}_count") for kind in kinds]
+        *[
+            F.count_if(F.col("kind") == number).alias(f"{kind}_count")
+            for kind, number in kinds.items()
+        ]
     )
     return per_concept.groupBy("encounter_id").agg(
         *[F.sum(f"{kind}_count").alias(f"{kind}_count") for kind in kinds],
         *[
-            F.count_if(F.col("domain") == domain).alias(f"distinct_{domain}_count")
+            F.count_if(F.col("domain") == domains[domain]).alias(
+                f"distinct_{domain}_count"
+            )
             for domain in ("condition", "medication", "procedure")
         ],
     )
@@ -186,21 +195,22 @@ def procedure_summary(silver: Tables) -> DataFrame:
 
 def medication_events(silver: Tables) -> DataFrame:
     """The four medication event tables as one stream with an activity tag."""
-    events = None
+    streams = []
     for table in MEDICATION_EVENTS:
         activity = table.name.removeprefix("medication_")
         source = F.lit("order") if activity == "request" else F.col("source_system")
         code = F.coalesce("medication_code", F.lit("unknown"))
-        stream = silver[table.name].select(
-            "patient_id",
-            "encounter_id",
-            code.alias("medication_code"),
-            F.coalesce("medication_display", code).alias("medication_display"),
-            F.lit(activity).alias("activity_type"),
-            source.alias("source_system"),
+        streams.append(
+            silver[table.name].select(
+                "patient_id",
+                "encounter_id",
+                code.alias("medication_code"),
+                F.coalesce("medication_display", code).alias("medication_display"),
+                F.lit(activity).alias("activity_type"),
+                source.alias("source_system"),
+            )
         )
-        events = stream if events is None else events.unionByName(stream)
-    return events
+    return union_all(streams)
 
 
 def medication_activity(silver: Tables) -> DataFrame:
@@ -389,14 +399,15 @@ def build_all_gold(silver: Tables) -> dict[str, DataFrame]:
 
 def gold_surface(gold: Tables) -> DataFrame:
     """Row count and forbidden columns of every Gold table."""
-    rows = None
+    rows = []
     for table in GOLD_TABLES:
         df = gold[table.name]
         exposed = sorted(FORBIDDEN_GOLD_COLUMNS.intersection(df.columns))
-        row = df.agg(F.count("*").alias("row_count")).select(
-            F.lit(table.name).alias("table_name"),
-            "row_count",
-            F.lit(", ".join(exposed)).alias("forbidden_columns"),
+        rows.append(
+            df.agg(F.count("*").alias("row_count")).select(
+                F.lit(table.name).alias("table_name"),
+                "row_count",
+                F.lit(", ".join(exposed)).alias("forbidden_columns"),
+            )
         )
-        rows = row if rows is None else rows.unionByName(row)
-    return rows
+    return union_all(rows)

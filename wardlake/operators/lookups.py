@@ -12,25 +12,21 @@ def left_lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Left outer join on ``key`` in which null keys are spread over all tasks.
 
     A null key matches nothing, yet a plain left join sends all such rows to one
-    task. Here a second join column numbers them at random; on the dimension it
-    is always zero, so the result is the same. Neither side is hinted: the
-    dimension is broadcast only when its measured size allows, and a hot
-    non-null key is split by the adaptive skew join.
+    task. Here they get one of many made-up keys instead; real keys carry another
+    prefix, so no made-up key can meet a dimension row and the result is the same.
+    Neither side is hinted: the dimension is broadcast only when its measured size
+    allows, and a hot non-null key is split by the adaptive skew join.
     """
-    spread = F.when(F.col(key).isNotNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*_hashable(facts)), F.lit(NULL_SPREAD)).cast("int") + 1
-    )
-    left = facts.withColumn("_spread", spread).withColumn(
-        "_join_key", F.coalesce(F.col(key), F.lit(""))
-    )
+    spread = F.pmod(F.xxhash64(*_hashable(facts)), F.lit(NULL_SPREAD))
+    made_up = F.concat(F.lit("-"), spread.cast("string"))
+    real = F.concat(F.lit("+"), F.col(key))
+    left = facts.withColumn("_join_key", F.coalesce(real, made_up))
     right = (
         dimension.filter(F.col(key).isNotNull())
-        .withColumn("_spread", F.lit(0))
-        .withColumnRenamed(key, "_join_key")
-    )
-    return left.join(right, ["_join_key", "_spread"], "left").drop(
-        "_join_key", "_spread"
+        .withColumn("_join_key", real)
+        .drop(key)
     )
+    return left.join(right, "_join_key", "left").drop("_join_key")
 
 
 def _hashable(df: DataFrame) -> list[str]:

@@ -195,32 +195,53 @@ def rule_lookup(spark: SparkSession, silver: Tables) -> DataFrame:
     )
 
 
-def column_findings(spark: SparkSession, silver: Tables) -> DataFrame:
-    """Every rule, whether its column exists, and how often it is populated."""
+def existing_columns(spark: SparkSession, silver: Tables) -> DataFrame:
+    """All columns of all tables, from their schemas: nothing is read."""
+    if not silver:
+        raise ValueError("No Silver tables found for privacy audit.")
+    pairs = [(name, column) for name, df in silver.items() for column in df.columns]
+    return static_table(
+        spark,
+        table_name=[table for table, _ in pairs],
+        column_name=[column for _, column in pairs],
+    )
+
+
+def column_findings(
+    spark: SparkSession, silver: Tables, with_population: bool = False
+) -> DataFrame:
+    """Every rule and whether its column exists.
+
+    ``with_population`` adds how many rows populate the column, which reads all
+    governed tables once.
+    """
+    cell = ["table_name", "column_name"]
+    found = (
+        column_population(silver)
+        if with_population
+        else existing_columns(spark, silver)
+    ).withColumn("found", F.lit(True))
+    rows = [F.coalesce("populated_rows", F.lit(0)).alias("populated_rows")]
     return (
         privacy_rules(spark)
-        .join(column_population(silver), ["table_name", "column_name"], "left")
+        .join(found, cell, "left")
         .select(
-            "table_name",
-            "column_name",
+            *cell,
             "classification",
             "rationale",
-            F.col("populated_rows").isNotNull().alias("present"),
+            F.col("found").isNotNull().alias("present"),
             "publishable_default",
-            F.coalesce("populated_rows", F.lit(0)).alias("populated_rows"),
+            *(rows if with_population else []),
         )
     )
 
 
 def classification_counts(findings: DataFrame) -> DataFrame:
-    return (
-        findings.filter("present")
-        .groupBy("classification")
-        .agg(
-            F.count("*").alias("column_count"),
-            F.sum("populated_rows").alias("populated_values"),
-        )
-    )
+    """Present columns per classification, with their populated values if known."""
+    measures = [F.count("*").alias("column_count")]
+    if "populated_rows" in findings.columns:
+        measures.append(F.sum("populated_rows").alias("populated_values"))
+    return findings.filter("present").groupBy("classification").agg(*measures)
 
 
 def unicode_pattern(pattern: str) -> str:
@@ -231,11 +252,28 @@ def unicode_pattern(pattern: str) -> str:
 def pattern_matches(text: Column, pattern_name: str) -> Column:
     """Sorted distinct matches of one pattern in a text."""
     pattern = F.lit(unicode_pattern(PATTERNS[pattern_name]))
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, pattern, 0)))
+    found = F.array_sort(F.array_distinct(F.regexp_extract_all(text, pattern, 0)))
+    return F.when(_may_match(text, pattern_name), found).when(
+        text.isNotNull(), F.array().cast("array<string>")
+    )
+
+
+def _may_match(text: Column, pattern_name: str) -> Column:
+    """A cheap test every match of the pattern passes: a needed sign, a length."""
+    sign, shortest = {
+        "email": ("@", 6),
+        "phone": (None, 12),
+        "ssn": ("-", 11),
+        "ipv4": (".", 7),
+        "url": ("://", 8),
+    }[pattern_name]
+    long_enough = F.length(text) >= shortest
+    return long_enough & F.contains(text, F.lit(sign)) if sign else long_enough
 
 
 def has_pattern(text: Column, pattern_name: str) -> Column:
-    return text.rlike(unicode_pattern(PATTERNS[pattern_name]))
+    pattern = unicode_pattern(PATTERNS[pattern_name])
+    return _may_match(text, pattern_name) & text.rlike(pattern)
 
 
 def scan_scope(silver: Tables) -> dict[str, list[str]]:

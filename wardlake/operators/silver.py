@@ -48,6 +48,11 @@ def parsed(bronze: DataFrame, resource_type: str) -> DataFrame:
     )
 
 
+def with_first_dosage(rows: DataFrame) -> DataFrame:
+    """Adds the first dosage instruction, parsed once for all its fields."""
+    return rows.withColumn("first_dosage", fhir.first_dosage(R["dosageInstruction"]))
+
+
 def _flat(rows: DataFrame, name: str, **columns: Column) -> DataFrame:
     table = rows.select(*[c.alias(n) for n, c in columns.items()], *lineage())
     return as_layout(table, silver_table(name).schema)
@@ -215,10 +220,8 @@ def medication_request(bronze: DataFrame, medications: DataFrame) -> DataFrame:
     """
     concept = fhir.concept_fields(R["medicationCodeableConcept"])
     medication_id = fhir.reference_id(R["medicationReference"])
-    rows = parsed(bronze, "MedicationRequest").withColumn(
-        "dosage", fhir.dosage_summary(fhir.first_dosage(R["dosageInstruction"]))
-    )
-    dosage = F.col("dosage")
+    rows = with_first_dosage(parsed(bronze, "MedicationRequest"))
+    dosage = fhir.dosage_summary(F.col("first_dosage"))
     validity = fhir.period_fields(R["dispenseRequest"]["validityPeriod"])
     by_reference = F.nullif(medication_id, F.lit("")).isNotNull()
     inline = _flat(
@@ -300,14 +303,10 @@ def medication_administration(bronze: DataFrame) -> DataFrame:
 
 def medication_dispense(bronze: DataFrame) -> DataFrame:
     concept = fhir.concept_fields(R["medicationCodeableConcept"])
-    rows = (
-        parsed(bronze, "MedicationDispense")
-        .withColumn("requests", fhir.reference_ids(R["authorizingPrescription"]))
-        .withColumn(
-            "dosage", fhir.dosage_summary(fhir.first_dosage(R["dosageInstruction"]))
-        )
+    rows = with_first_dosage(parsed(bronze, "MedicationDispense")).withColumn(
+        "requests", fhir.reference_ids(R["authorizingPrescription"])
     )
-    dosage = F.col("dosage")
+    dosage = fhir.dosage_summary(F.col("first_dosage"))
     return _flat(
         rows,
         "medication_dispense",

@@ -19,6 +19,10 @@ from wardlake.sources.ndjson import (
     source_files,
 )
 
+# Text of about 256 MB per spread partition; FHIR text packs about twelvefold.
+PARTITION_TEXT_BYTES = 256 << 20
+TEXT_PER_GZIP_BYTE = 12
+
 _ENVELOPE = "struct<resourceType:string,id:string,meta:struct<profile:array<string>>>"
 
 
@@ -64,6 +68,26 @@ def bronze_rows(
     )
 
 
+def spread_partitions(spark: SparkSession, source_dir: str) -> int | None:
+    """Partitions to spread the lines over, or None when files are even enough.
+
+    A gzip file is one task. When the largest file exceeds the fair share of one
+    core, its task would hold up the parse and leave Bronze in too few row groups
+    to read in parallel; then, and only then, the text is shuffled.
+    Sizes come from the file listing.
+    """
+    sizes = (
+        source_files(spark, source_dir)
+        .agg(F.max("size_bytes").alias("largest"), F.sum("size_bytes").alias("total"))
+        .first()
+    )
+    cores = spark.sparkContext.defaultParallelism
+    if not sizes["total"] or sizes["largest"] * cores <= sizes["total"]:
+        return None
+    by_size = sizes["total"] * TEXT_PER_GZIP_BYTE // PARTITION_TEXT_BYTES
+    return max(cores, int(by_size))
+
+
 def write_bronze(
     spark: SparkSession,
     source_dir: str,
@@ -98,10 +122,9 @@ def write_bronze(
         )
         .filter("good")
     )
-    # Fewer files than cores: spread the lines so that the parse and the write
-    # do not run in a handful of tasks. The id makes the spread repeatable.
-    wanted = partitions or spark.sparkContext.defaultParallelism
-    if checked.rdd.getNumPartitions() < wanted:
+    wanted = partitions or spread_partitions(spark, source_dir)
+    if wanted:
+        # The id makes the spread repeatable when a task is run again.
         checked = checked.repartition(wanted, "line_id")
     rows = bronze_rows(checked, dataset_name, dataset_version, ingested_at, canonical)
     writer = rows.write.mode("overwrite").partitionBy("resource_type")

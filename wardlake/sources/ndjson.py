@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILE_PATTERN = "*.ndjson.gz"
+BROADCAST_FILES = 100_000
 # A family too large for one gzip file may come in numbered shards
 # (``Family-00000.ndjson.gz``); the shard number is not part of the family.
 FAMILY_SUFFIX = r"(-\d{5})?\.ndjson\.gz$"
@@ -75,24 +76,37 @@ def is_resource(line: Column) -> Column:
     return opens_object(line) & is_single_value(line)
 
 
-def scan_resources(lines: DataFrame) -> DataFrame:
-    """Lines that hold a resource; blank and bad lines are left out."""
-    return lines.filter(~is_blank(F.col("value")) & is_resource(F.col("value")))
+def scan_resources(lines: DataFrame, validate: bool = True) -> DataFrame:
+    """Lines that hold a resource; blank and bad lines are left out.
+
+    Without ``validate`` every line that is not blank counts as a resource: for
+    runs in which a bad line fails the Bronze write anyway.
+    """
+    value = F.col("value")
+    kept = lines.filter(~is_blank(value))
+    return kept.filter(is_resource(value)) if validate else kept
 
 
-def numbered_resources(spark: SparkSession, source_dir: str) -> DataFrame:
+def numbered_resources(
+    spark: SparkSession, source_dir: str, validate: bool = True
+) -> DataFrame:
     """Resources with their 1-based position in the file and the file's row count.
 
     The position comes from a running id taken after the filter, less the first
     id of the file. Only one small row per file is joined back, so nothing is
     sorted and no text is shuffled.
     """
-    running = scan_resources(scan_lines(spark, source_dir)).withColumn(
+    lines = scan_lines(spark, source_dir)
+    running = scan_resources(lines, validate).withColumn(
         "line_id", F.monotonically_increasing_id()
     )
     starts = running.groupBy("source_file").agg(
         F.min("line_id").alias("first_id"), F.count("*").alias("row_count")
     )
+    # One row of some hundred bytes per file. The planner cannot know that and
+    # would shuffle the text by file; the file count bounds the broadcast.
+    if len(lines.inputFiles()) <= BROADCAST_FILES:
+        starts = F.broadcast(starts)
     return running.join(starts, "source_file").select(
         "source_file",
         "value",
