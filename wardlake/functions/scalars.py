@@ -10,7 +10,9 @@ KEY_NAMESPACES = ("patient", "encounter", "medication_request")
 
 _LEADING_DATE = r"^\s*\d+-\d{1,2}-\d{1,2}"
 _END_OF_DAY = r"[T ]24:00:00$"
-_JAVA_EXPONENT = r"^-?\d+\.\d+E-?\d+$"
+_EXPONENT = r"^-?\d+\.\d+E-?\d+$"
+# Powers of ten of values from 1e-4 up to, not including, 1e16.
+_EXPONENT_IN_RANGE = r"^-?\d+\.\d+E(-4|[7-9]|1[0-5])$"
 
 
 def filled_or(value: Column, fallback: Column) -> Column:
@@ -65,48 +67,21 @@ def number_text(text: Column) -> Column:
     (``1.23E7``, ``5.0E-4``). Between 1e-4 and 1e16 the plain form is wanted,
     outside it the short exponent form (``1e-05``, ``1e+16``).
     """
-    sign = F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit(""))
-    whole = F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 1)
-    fraction = F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 2)
-    power = F.regexp_extract(text, r"^-?(\d+)\.(\d+)E(-?\d+)$", 3).try_cast("int")
-    digits = F.when(fraction == "0", F.lit("")).otherwise(fraction)
-
-    small = F.concat(sign, F.lit("0.000"), whole, digits)
-    large = F.when(
-        F.length(digits) <= power,
-        F.concat(sign, whole, F.rpad(digits, power, "0"), F.lit(".0")),
-    ).otherwise(
-        F.concat(
-            sign,
-            whole,
-            F.substr(fraction, F.lit(1), power),
-            F.lit("."),
-            F.substr(fraction, power + 1),
-        )
-    )
-    mantissa = F.when(fraction == "0", whole).otherwise(
-        F.concat(whole, F.lit("."), fraction)
-    )
-    short = F.concat(
-        sign,
-        mantissa,
-        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")),
-        F.abs(power).cast("string"),
-    )
-    plain = (
-        F.when(power == -4, small)
-        .when((power >= 7) & (power <= 15), large)
-        .otherwise(short)
+    # 16 digits before and 22 behind the point hold every double of the range.
+    plain = F.regexp_replace(
+        text.try_cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1"
     )
-    # Nearly all numbers are plain: two cheap tests decide before any pattern.
-    special = F.contains(text, F.lit("E")) | F.endswith(text, F.lit('Infinity"'))
+    short = F.regexp_replace(text, r"(\.0)?E-", "e-")
+    short = F.regexp_replace(short, r"(\.0)?E", "e+")
+    short = F.regexp_replace(short, r"(e[+-])(\d)$", "$10$2")
+    infinite = F.regexp_replace(text, r'^"(-?)I(nf)inity"$', "$1i$2")
+    # Nearly all numbers are plain: one cheap test decides before anything else.
+    # Kept small on purpose: the JVM does not compile very large methods.
     return (
-        F.when(~special, text)
-        .when(text.rlike(_JAVA_EXPONENT), plain)
-        .when(text == '"Infinity"', F.lit("inf"))
-        .when(text == '"-Infinity"', F.lit("-inf"))
-        .otherwise(text)
+        F.when(~text.rlike('[E"]'), text)
+        .when(text.rlike(_EXPONENT_IN_RANGE), plain)
+        .when(text.rlike(_EXPONENT), short)
+        .otherwise(infinite)
     )
 
 

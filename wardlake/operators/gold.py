@@ -124,8 +124,7 @@ def encounter_summary(silver: Tables) -> DataFrame:
     )
     activity = encounter_activity(silver)
     counts = [name for name in activity.columns if name != "encounter_id"]
-    # Both sides hash on encounter_id: the second fold is joined in place.
-    joined = stays.join(activity, "encounter_id", "left")
+    joined = left_lookup(stays, activity, "encounter_id")
     return _finish(
         joined.select(
             stable_key("encounter", F.col("encounter_id")).alias("encounter_key"),
@@ -345,7 +344,10 @@ def observation_daily(silver: Tables, where: Column) -> DataFrame:
     firsts = measured.groupBy("patient_id").agg(
         F.min("event_date").alias("first_date")
     )
-    placed = left_lookup(daily, starts, "encounter_id").join(firsts, "patient_id")
+    # Every patient has a first date; the lookup keeps a hot patient splittable.
+    placed = left_lookup(
+        left_lookup(daily, starts, "encounter_id"), firsts, "patient_id"
+    )
     day = F.datediff("event_date", F.coalesce("start_date", "first_date"))
     folded = placed.groupBy(*grain, day.alias("event_day_index")).agg(
         F.sum("n").alias("measurement_count"),

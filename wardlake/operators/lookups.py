@@ -15,7 +15,9 @@ def left_lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     task. Here they get one of many made-up keys instead; real keys carry another
     prefix, so no made-up key can meet a dimension row and the result is the same.
     Neither side is hinted: the dimension is broadcast only when its measured size
-    allows, and a hot non-null key is split by the adaptive skew join.
+    allows. Beyond that both sides are exchanged on the derived key, also when the
+    dimension is an aggregate already hashed on ``key``: the adaptive skew join can
+    split a hot key only between two exchanges.
     """
     spread = F.pmod(F.xxhash64(*_hashable(facts)), F.lit(NULL_SPREAD))
     made_up = F.concat(F.lit("-"), spread.cast("string"))

@@ -119,12 +119,17 @@ def reference_keys(silver: Tables) -> DataFrame:
 
 
 def target_keys(silver: Tables) -> DataFrame:
+    """Distinct keys of the four target tables.
+
+    Made distinct on the join key, which the join needs exchanged anyway, so a
+    much repeated target id costs one row.
+    """
     return union_all(
         [
             silver[name].select(F.lit(name).alias("target"), F.col(key).alias("key"))
             for name, key in TARGET_KEYS.items()
         ]
-    )
+    ).distinct()
 
 
 def orphan_metrics(spark: SparkSession, silver: Tables) -> DataFrame:

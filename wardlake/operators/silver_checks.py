@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.plans.registry import RESOURCE_TABLES
-from wardlake.sources.tables import static_table, union_all
+from wardlake.sources.tables import run_together, static_table, union_all
 
 Tables = Mapping[str, DataFrame]
 
@@ -65,9 +65,8 @@ def unresolved_keys(
     if not null_is_unresolved:
         keys = keys.filter(F.col("key").isNotNull())
     if target is not None:
-        keys = keys.join(
-            target.select(F.col(target_column).alias("key")), "key", "left_anti"
-        )
+        known = target.select(F.col(target_column).alias("key")).distinct()
+        keys = keys.join(known, "key", "left_anti")
     return keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("unresolved_rows"))
 
 
@@ -128,23 +127,25 @@ def require_valid_silver(
     spark: SparkSession, bronze: DataFrame, silver: Tables
 ) -> list:
     """Parity rows (ten at most), or an error naming the first problem."""
+    tasks = {
+        label: lambda c=check: c(silver).first()["unresolved_rows"]
+        for label, (table, check) in KEY_CHECKS.items()
+        if table in silver
+        and not (table == "medication_ingredient" and "medication" not in silver)
+    }
+    tasks["parity"] = lambda: silver_parity(spark, bronze, silver).collect()
+    results = run_together(tasks)
     order = {t.name: i for i, t in enumerate(RESOURCE_TABLES)}
-    rows = sorted(
-        silver_parity(spark, bronze, silver).collect(),
-        key=lambda row: order[row["table_name"]],
-    )
+    rows = sorted(results.pop("parity"), key=lambda row: order[row["table_name"]])
     for row in rows:
         if row["expected_rows"] != row["actual_rows"]:
             raise SilverCheckError(
                 f"Silver {row['table_name']} row count mismatch: "
                 f"expected={row['expected_rows']}, actual={row['actual_rows']}"
             )
-    for label, (table, check) in KEY_CHECKS.items():
-        if table not in silver:
-            continue
-        if table == "medication_ingredient" and "medication" not in silver:
-            raise SilverCheckError("Silver medication table is missing.")
-        count = check(silver).first()["unresolved_rows"]
+    if "medication_ingredient" in silver and "medication" not in silver:
+        raise SilverCheckError("Silver medication table is missing.")
+    for label, count in results.items():
         if count:
             raise SilverCheckError(f"Silver {label}: {count} rows do not resolve")
     return rows

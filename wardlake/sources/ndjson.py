@@ -87,6 +87,19 @@ def scan_resources(lines: DataFrame, validate: bool = True) -> DataFrame:
     return kept.filter(is_resource(value)) if validate else kept
 
 
+def file_starts(lines: DataFrame) -> DataFrame:
+    """First id and number of lines per file: one row of some hundred bytes each.
+
+    The planner cannot know how few they are and would shuffle the text by file,
+    so they are broadcast, as long as the count of input files bounds their size.
+    """
+    starts = lines.groupBy("source_file").agg(
+        F.min("line_id").alias("first_id"), F.count("*").alias("row_count")
+    )
+    few = len(lines.inputFiles()) <= BROADCAST_FILES
+    return F.broadcast(starts) if few else starts
+
+
 def numbered_resources(
     spark: SparkSession, source_dir: str, validate: bool = True
 ) -> DataFrame:
@@ -96,18 +109,10 @@ def numbered_resources(
     id of the file. Only one small row per file is joined back, so nothing is
     sorted and no text is shuffled.
     """
-    lines = scan_lines(spark, source_dir)
-    running = scan_resources(lines, validate).withColumn(
+    running = scan_resources(scan_lines(spark, source_dir), validate).withColumn(
         "line_id", F.monotonically_increasing_id()
     )
-    starts = running.groupBy("source_file").agg(
-        F.min("line_id").alias("first_id"), F.count("*").alias("row_count")
-    )
-    # One row of some hundred bytes per file. The planner cannot know that and
-    # would shuffle the text by file; the file count bounds the broadcast.
-    if len(lines.inputFiles()) <= BROADCAST_FILES:
-        starts = F.broadcast(starts)
-    return running.join(starts, "source_file").select(
+    return running.join(file_starts(running), "source_file").select(
         "source_file",
         "value",
         (F.col("line_id") - F.col("first_id") + 1).alias("position"),
@@ -117,13 +122,12 @@ def numbered_resources(
 
 def scan_rejects(lines: DataFrame) -> DataFrame:
     """Bad lines with file name, 1-based physical line number and reason."""
-    starts = lines.groupBy("source_file").agg(F.min("line_id").alias("first_id"))
     value = F.col("value")
     reason = F.when(is_single_value(value), F.lit("not_an_object")).otherwise(
         F.lit("malformed_json")
     )
     bad = lines.filter(~is_blank(value) & ~is_resource(value))
-    return bad.join(starts, "source_file").select(
+    return bad.join(file_starts(lines), "source_file").select(
         "source_file",
         (F.col("line_id") - F.col("first_id") + 1).alias("line_number"),
         reason.alias("reason"),
