@@ -348,7 +348,8 @@ def observation_daily(silver: Tables, where: Column) -> DataFrame:
     placed = left_lookup(
         left_lookup(daily, starts, "encounter_id"), firsts, "patient_id"
     )
-    day = F.datediff("event_date", F.coalesce("start_date", "first_date"))
+    zero = F.coalesce("start_date", "first_date")
+    day = F.datediff("event_date", zero).cast("bigint")
     folded = placed.groupBy(*grain, day.alias("event_day_index")).agg(
         F.sum("n").alias("measurement_count"),
         F.min("low").alias("min_value"),

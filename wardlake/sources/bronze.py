@@ -68,24 +68,34 @@ def bronze_rows(
     )
 
 
+def _source_sizes(spark: SparkSession, source_dir: str) -> tuple[int, int]:
+    """Largest and total size of the source files, from the listing."""
+    row = (
+        source_files(spark, source_dir)
+        .agg(F.max("size_bytes").alias("largest"), F.sum("size_bytes").alias("total"))
+        .first()
+    )
+    return row["largest"] or 0, row["total"] or 0
+
+
+def text_partitions(spark: SparkSession, source_dir: str) -> int:
+    """Partitions that hold about 256 MB of source text each."""
+    _, total = _source_sizes(spark, source_dir)
+    return max(1, total * TEXT_PER_GZIP_BYTE // PARTITION_TEXT_BYTES)
+
+
 def spread_partitions(spark: SparkSession, source_dir: str) -> int | None:
     """Partitions to spread the lines over, or None when files are even enough.
 
     A gzip file is one task. When the largest file exceeds the fair share of one
     core, its task would hold up the parse and leave Bronze in too few row groups
     to read in parallel; then, and only then, the text is shuffled.
-    Sizes come from the file listing.
     """
-    sizes = (
-        source_files(spark, source_dir)
-        .agg(F.max("size_bytes").alias("largest"), F.sum("size_bytes").alias("total"))
-        .first()
-    )
+    largest, total = _source_sizes(spark, source_dir)
     cores = spark.sparkContext.defaultParallelism
-    if not sizes["total"] or sizes["largest"] * cores <= sizes["total"]:
+    if largest * cores <= total:
         return None
-    by_size = sizes["total"] * TEXT_PER_GZIP_BYTE // PARTITION_TEXT_BYTES
-    return max(cores, int(by_size))
+    return max(cores, text_partitions(spark, source_dir))
 
 
 def write_bronze(
@@ -111,10 +121,16 @@ def write_bronze(
         raise ValueError(f"Unknown bad-line mode: {on_bad_line}")
     lines = scan_lines(spark, source_dir)
     value = F.col("value")
+    filled = lines.filter(~is_blank(value))
+    wanted = partitions or spread_partitions(spark, source_dir)
+    if wanted:
+        # The id makes the spread repeatable when a task is run again.
+        filled = filled.repartition(wanted, "line_id")
+    # Judged and counted behind the spread: balanced, and in the stage that
+    # writes, where a task run again after a lost executor is not counted twice.
     counts = Observation("bronze_write")
     checked = (
-        lines.filter(~is_blank(value))
-        .withColumn("good", is_resource(value))
+        filled.withColumn("good", is_resource(value))
         .observe(
             counts,
             F.count_if("good").alias("good"),
@@ -122,10 +138,6 @@ def write_bronze(
         )
         .filter("good")
     )
-    wanted = partitions or spread_partitions(spark, source_dir)
-    if wanted:
-        # The id makes the spread repeatable when a task is run again.
-        checked = checked.repartition(wanted, "line_id")
     rows = bronze_rows(checked, dataset_name, dataset_version, ingested_at, canonical)
     writer = rows.write.mode("overwrite").partitionBy("resource_type")
     if max_records_per_file:

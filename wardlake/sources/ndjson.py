@@ -34,12 +34,25 @@ def source_files(spark: SparkSession, source_dir: str) -> DataFrame:
     )
 
 
+def pin_file_packing(spark: SparkSession) -> None:
+    """Fix how files are packed into tasks for the rest of the session.
+
+    Two scans of the same files must number lines alike. The packing follows the
+    core count, which may grow between the scans while executors join; a value
+    the session already sets is kept.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(max(1, spark.sparkContext.defaultParallelism)))
+
+
 def scan_lines(spark: SparkSession, source_dir: str) -> DataFrame:
     """Every physical line with its file and a running id.
 
     A gzip file cannot be split, so a file lies in one task and its ids are
     consecutive in file order. Nothing here may shuffle before the id is taken.
     """
+    pin_file_packing(spark)
     return (
         spark.read.option("pathGlobFilter", FILE_PATTERN)
         .text(source_dir)
