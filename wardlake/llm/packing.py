@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlake.llm.shared import stored, text_of
+from wardlake.llm.shared import in_workers, stored, text_of
 from wardlake.llm.text import blocks, word_hashes
 
 CAPACITY = 4096
@@ -198,7 +198,7 @@ def token_pieces(
     A null or empty text is the end id alone."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, {PIECES}" + (", ids array<int>" if with_ids else "")
-    return text_of(docs).mapInArrow(_pieces(path, capacity, with_ids), schema)
+    return in_workers(text_of(docs)).mapInArrow(_pieces(path, capacity, with_ids), schema)
 
 
 def difference(lengths: list[int], windows: int) -> list[list[int]]:

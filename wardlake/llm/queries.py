@@ -7,11 +7,26 @@ from pyspark.sql import functions as F
 
 from wardlake.llm.exact_dedup import exact_duplicates
 from wardlake.llm.kd_shards import kd_shards
+from wardlake.llm.langid import identify
 from wardlake.llm.mixing import mix
 from wardlake.llm.packing import packed
 from wardlake.llm.perplexity import quality_rules
+from wardlake.llm.quality_net import quality
 from wardlake.llm.shared import documents
 from wardlake.llm.simhash import near_duplicates
+from wardlake.llm.toxicity import toxicity
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
 def op4_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +49,10 @@ def op6_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -55,9 +74,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_language_id,
+        op2_toxicity,
         op4_perplexity_rules,
         op5_simhash_near_dedup,
         op6_kd_tree_shards,
+        op7_quality,
         op8_exact_dedup,
         op9_packing,
         op10_source_mix,

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of the white space that ends a word; a word is a run of all others.
 WHITE_BYTES = b" \t\n\x0b\x0c\r"
 #: The same set as a pattern of Java's and DuckDB's regular expressions.
@@ -41,6 +44,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_workers(df: DataFrame) -> DataFrame:
+    """``df``, after making this package importable in the session's Python workers
+    where it is installed at the same place as here."""
+    environment = df.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if PACKAGE_ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), PACKAGE_ROOT])
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.llm.components import component_roots
-from wardlake.llm.shared import stored, text_of
+from wardlake.llm.shared import in_workers, stored, text_of
 from wardlake.llm.text import blocks, lowered, words
 
 SHINGLE_WORDS = 4
@@ -99,7 +99,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp long) of every document; a text without words has 0."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return text_of(docs).mapInArrow(_fingerprint_batches, f"doc_id {kind}, fp long")
+    return in_workers(text_of(docs)).mapInArrow(_fingerprint_batches, f"doc_id {kind}, fp long")
 
 
 def _syndromes(values: np.ndarray) -> np.ndarray:
@@ -256,7 +256,7 @@ def fingerprint_links(distinct: DataFrame, tile: int = TILE) -> DataFrame:
     worked on in pairs of tiles, which are dealt to different tasks, so no task
     holds more than two tiles of it.
     """
-    rows = distinct.select("fp").mapInArrow(_anchor_batches, "anchor long, fp long")
+    rows = in_workers(distinct.select("fp")).mapInArrow(_anchor_batches, "anchor long, fp long")
     crowded = (
         rows.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"))
