@@ -14,6 +14,7 @@ from wardlake.llm.perplexity import quality_rules
 from wardlake.llm.quality_net import quality
 from wardlake.llm.shared import documents
 from wardlake.llm.simhash import near_duplicates
+from wardlake.llm.substrings import without_repeats
 from wardlake.llm.toxicity import toxicity
 
 
@@ -29,6 +30,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op3_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(documents(spark, sf_dir))
+
+
 def op4_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -76,6 +81,7 @@ QUERIES = {
     for f in (
         op1_language_id,
         op2_toxicity,
+        op3_repeated_substrings,
         op4_perplexity_rules,
         op5_simhash_near_dedup,
         op6_kd_tree_shards,
