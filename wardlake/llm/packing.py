@@ -213,20 +213,14 @@ def difference(lengths: list[int], windows: int) -> list[list[int]]:
     while len(heap) > 1:
         _, _, sums, parts = heapq.heappop(heap)
         _, _, other_sums, other_parts = heapq.heappop(heap)
+        # The heaviest of one meets the lightest of the other, empty windows too.
         free = windows - len(sums)
-        # The heaviest of one meets the lightest of the other.
-        shared = len(other_sums) - free
-        merged = list(zip(sums, parts, strict=True))
-        if shared > 0:
-            for k in range(shared):
-                at = len(merged) - 1 - k
-                merged[at] = (
-                    sums[at] + other_sums[k],
-                    parts[at] + other_parts[k],
-                )
-            merged += zip(other_sums[shared:], other_parts[shared:], strict=True)
-        else:
-            merged += zip(other_sums, other_parts, strict=True)
+        merged = list(zip(other_sums[:free], other_parts[:free], strict=True))
+        for i, (total, part) in enumerate(zip(sums, parts, strict=True)):
+            j = windows - 1 - i
+            if j < len(other_sums):
+                total, part = total + other_sums[j], part + other_parts[j]
+            merged.append((total, part))
         merged.sort(key=lambda pair: -pair[0])
         sums = [a for a, _ in merged]
         least = sums[-1] if len(sums) == windows else 0
