@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from wardlake.llm.shared import WHITE, stored
 
 #: Distinct keys a bucket holds before it splits.
-BUCKET_KEYS = 4096
+BUCKET_KEYS = 1024
 #: Leading bits the directory can use; it has 2**16 entries at most, so it may be
 #: broadcast. Buckets of larger indexes hold as many more keys.
 MAX_DEPTH = 16
@@ -37,14 +37,16 @@ def _slot(key: str = "key"):
 
 def directory(entries: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """slot -> (depth, bucket): the shallowest depth at which its bucket is not
-    overfull. Rows: at most 2**MAX_DEPTH."""
+    overfull. It begins with as many bits as full buckets of all keys would need.
+    Rows: at most 2**MAX_DEPTH."""
     slots = entries.groupBy(_slot().alias("slot")).agg(
         F.countDistinct("key").alias("keys")
     )
     total = slots.agg(F.coalesce(F.sum("keys"), F.lit(0)).alias("n")).first()["n"]
     capacity = max(bucket_keys, -(-total * 4 // (1 << MAX_DEPTH)))
+    begin = min(MAX_DEPTH, max(0, (total // capacity).bit_length()))
     deep = slots.select(
-        "slot", "keys", F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))).alias("depth")
+        "slot", "keys", F.explode(F.sequence(F.lit(begin), F.lit(MAX_DEPTH))).alias("depth")
     ).withColumn("bucket", F.expr(f"shiftright(slot, {MAX_DEPTH} - depth)"))
     loads = deep.groupBy("depth", "bucket").agg(F.sum("keys").alias("load"))
     fits = loads.filter((F.col("load") <= capacity) | (F.col("depth") == MAX_DEPTH))
