@@ -238,12 +238,15 @@ def sharded_documents(docs: DataFrame, target_bytes: int = 256 << 20) -> DataFra
     total = docs.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, -(-total // target_bytes))
     found = kd_shards(docs, shards).select(
-        F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), "shard"
+        F.col("doc_id").alias("__id"),
+        F.col("text_crc32").alias("__crc"),
+        F.col("shard").alias("__shard"),
     ).distinct()
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     return (
         docs.join(found, (F.col("doc_id") == F.col("__id")) & (crc == F.col("__crc")))
-        .drop("__id", "__crc")
+        .withColumn("shard", F.col("__shard"))
+        .drop("__id", "__crc", "__shard")
         .repartition("shard")
         .sortWithinPartitions("shard", "doc_id")
     )

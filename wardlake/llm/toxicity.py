@@ -81,13 +81,10 @@ def term_hash(term: str) -> int:
     return int(word_hashes(data, np.array([0]), np.array([len(data)]))[0])
 
 
-def swaps(groups=IDENTITY_TERMS) -> dict[int, int]:
-    """Each term's hash to that of the next term of its kind."""
-    out = {}
-    for kind in groups:
-        for term, other in zip(kind, (*kind[1:], kind[0]), strict=True):
-            out[term_hash(term)] = term_hash(other)
-    return out
+def swaps(groups=IDENTITY_TERMS) -> dict[int, list[int]]:
+    """Each term's hash to those of the other terms of its kind."""
+    kinds = [[term_hash(term) for term in kind] for kind in groups]
+    return {one: [x for x in kind if x != one] for kind in kinds for one in kind}
 
 
 def _word_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,22 +121,23 @@ def fit(
     terms = np.array(sorted(other), np.uint64)
     vocabulary = np.unique(np.concatenate([vocabulary[count >= LEAST_TEXTS], terms]))
     size = len(vocabulary)
-    swapped = {
-        int(np.searchsorted(vocabulary, np.uint64(a))): int(
-            np.searchsorted(vocabulary, np.uint64(b))
-        )
-        for a, b in other.items()
-    }
+
+    def place(key: int) -> int:
+        return int(np.searchsorted(vocabulary, np.uint64(key)))
+
+    swapped = {place(a): [place(b) for b in kind] for a, kind in other.items()}
     rows, changes = [], []
     for words in texts:
         at = np.minimum(np.searchsorted(vocabulary, words), size - 1)
         at = at[vocabulary[at] == words]
         rows.append(np.append(at, size))  # the last coordinate is the bias
         here = [i for i in at.tolist() if i in swapped]
-        change: dict[int, int] = {}
+        # What swapping each term for the others of its kind changes on average.
+        change: dict[int, float] = {}
         for i in here:
             change[i] = change.get(i, 0) + 1
-            change[swapped[i]] = change.get(swapped[i], 0) - 1
+            for k in swapped[i]:
+                change[k] = change.get(k, 0) - 1 / len(swapped[i])
         changes.append({i: n for i, n in change.items() if n})
     model = Ftrl(size + 1, 1, ALPHA, L1, L2)
     learn = np.flatnonzero(~aside) if (~aside).any() else np.arange(len(labels))
