@@ -313,6 +313,9 @@ def repeated_spans(texts: DataFrame, portion: int = PORTION) -> DataFrame:
         .filter("n > 1")
         .select("anchor", F.ceil(F.col("n") / portion).alias("portions"))
     )
+    # Stored, so that both sides are exchanged for the join alone and an anchor with
+    # very many places can be split.
+    often = stored(often, "often")
     piece = F.when(F.col("portions") == 1, F.col("anchor")).otherwise(
         F.xxhash64("anchor", F.pmod(F.xxhash64("tid", "first"), F.col("portions")))
     )
