@@ -32,7 +32,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: Pieces of a block, on average.
 BLOCK_PIECES = 768
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 2_000_000
+KEPT_WORDS = 1_000_000
 LATE_WORDS = 100_000
 PIECES = "start long, length long, doc_tokens long, ids_crc32 long"
 
