@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -54,14 +53,14 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     place = lake(spark, sf_dir)
-    source = place.landing()
+    source = place.clean_landing()
 
-    output = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    output = f"{place.root}/bench"
     run = run_pipeline(
         spark, source, output, testbed.DATASET_NAME, testbed.DATASET_VERSION
     )
-    seconds = {step.name: step.duration_seconds for step in run.steps}
-    rows = {step.name: step.rows for step in run.steps}
+    seconds = {step.name: step.duration_seconds for step in run.entries}
+    rows = {step.name: step.rows for step in run.entries}
 
     started = time.perf_counter()
     gold, silver = run.gold(), run.silver()
@@ -82,7 +81,7 @@ def main() -> None:
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "resources": resources,
                 "resources_per_sec": round(resources / total) if total else 0,
-                "steps": {step.name: step.status for step in run.steps},
+                "steps": {step.name: step.status for step in run.entries},
             }
         )
     )

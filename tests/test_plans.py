@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.operators import gold, privacy, relationships, silver
+from wardlake.operators import gold, privacy, profiling, relationships, silver
 from wardlake.operators.lookups import left_lookup
 from wardlake.plans.registry import GOLD_TABLES, SILVER
 from wardlake.sources import bronze, ndjson, tables
@@ -129,11 +129,41 @@ def test_generated_code_stays_compilable(spark, written, folder):
             assert max(sizes, default=0) < 8000
 
 
-def test_text_is_not_shuffled_to_number_it(spark, folder, write_gz):
+def test_first_dates_read_few_columns(spark, written):
+    """The second look at the measurements reads no encounter, unit or issue time."""
+    with large(spark):
+        for name in ("vitals_daily", "labs_daily"):
+            text = plan(gold.build_gold(name, written))
+            scans = re.findall(r"ReadSchema: (struct<[^\n]*effective_datetime[^\n]*)", text)
+            assert len(scans) == 2
+            assert [s for s in scans if "encounter_id" not in s and "unit" not in s]
+
+
+def test_references_are_exchanged_once_for_fold_and_anti_join(spark, written):
+    with large(spark):
+        lost = relationships.reference_keys(written).join(
+            relationships.target_keys(written), ["target", "key"], "left_anti"
+        )
+        text = plan(lost)
+    # One exchange of the references and one of the targets.
+    assert text.count("Exchange hashpartitioning(target") == 2
+
+
+def test_profile_is_one_scan_without_a_join(spark, folder, write_gz):
     write_gz(f"{folder}/A.ndjson.gz", [{"id": "1"}])
-    text = plan(ndjson.numbered_resources(spark, folder))
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    assert "Window" not in text
+    resources = ndjson.scan_resources(ndjson.scan_lines(spark, folder))
+    text = plan(profiling.file_profiles(resources))
+    assert text.count("FileScan text") == 1
+    assert "Join" not in text and "Window" not in text
+
+
+def test_numbering_can_be_split(spark, folder, write_gz):
+    """Lines and starts are exchanged for the join alone, so a large file splits."""
+    write_gz(f"{folder}/A.ndjson.gz", [{"id": "1"}])
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(ndjson.numbered_resources(spark, folder))
+    assert "Broadcast" not in text
+    assert text.count("Exchange hashpartitioning(_file") == 2
 
 
 def test_skewed_lookup_is_split_at_run_time(spark):

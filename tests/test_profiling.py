@@ -21,12 +21,13 @@ def sources(spark, folder, write_gz):
     write_gz(f"{folder}/MimicPatient.ndjson.gz", [{"id": "p", "resourceType": "Patient"}])
     write_gz(f"{folder}/Empty.ndjson.gz", [])
     files = ndjson.source_files(spark, folder)
-    return ndjson.numbered_resources(spark, folder), files
+    lines = ndjson.scan_lines(spark, folder)
+    return profiling.file_profiles(ndjson.scan_resources(lines)), files
 
 
 def test_inventory_takes_type_and_profile_of_the_first_row(spark, folder, write_gz):
-    numbered, files = sources(spark, folder, write_gz)
-    inventory = profiling.resource_inventory(numbered, files)
+    profiles, files = sources(spark, folder, write_gz)
+    inventory = profiling.resource_inventory(profiles, files)
     rows = {r.resource_family: r for r in inventory.collect()}
     labs = rows["MimicObservationLabevents"]
     assert (labs.resource_type, labs.profile_url, labs.row_count) == (
@@ -48,10 +49,10 @@ def test_inventory_takes_type_and_profile_of_the_first_row(spark, folder, write_
 
 
 def test_schema_profile_counts_present_fields(spark, folder, write_gz):
-    numbered, files = sources(spark, folder, write_gz)
+    profiles, files = sources(spark, folder, write_gz)
     rows = {
         r.resource_family: r
-        for r in profiling.schema_profile(numbered, files).collect()
+        for r in profiling.schema_profile(profiles, files).collect()
     }
     labs = rows["MimicObservationLabevents"]
     assert labs.sampled_rows == 3
@@ -67,16 +68,18 @@ def test_schema_profile_counts_present_fields(spark, folder, write_gz):
 
 
 def test_sample_stops_at_the_limit(spark, folder, write_gz):
-    numbered, files = sources(spark, folder, write_gz)
-    rows = profiling.schema_profile(numbered, files, sample_rows=1).collect()
+    profiles, files = sources(spark, folder, write_gz)
+    first = profiling.sampled(ndjson.numbered_resources(spark, folder), 1)
+    profiles = profiling.file_profiles(first)
+    rows = profiling.schema_profile(profiles, files).collect()
     labs = next(r for r in rows if r.resource_family == "MimicObservationLabevents")
     assert labs.sampled_rows == 1
     assert "extra" not in labs.top_level_keys
 
 
 def test_core_signals(spark, folder, write_gz):
-    numbered, files = sources(spark, folder, write_gz)
-    profile = profiling.schema_profile(numbered, files)
+    profiles, files = sources(spark, folder, write_gz)
+    profile = profiling.schema_profile(profiles, files)
     rows = {r.source_file: r for r in profiling.core_schema_signals(profile).collect()}
     assert set(rows) == {
         "MimicObservationLabevents.ndjson.gz",

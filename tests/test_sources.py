@@ -35,10 +35,21 @@ def test_empty_directory_has_no_rows(spark, folder):
 
 
 def test_shard_numbers_are_not_part_of_the_family(spark, folder, write_gz):
-    write_gz(f"{folder}/MimicPatient-00007.ndjson.gz", [{"id": "1"}])
-    row = ndjson.source_files(spark, folder).first()
-    assert row.source_file == "MimicPatient-00007.ndjson.gz"
-    assert row.resource_family == "MimicPatient"
+    families = {
+        "MimicPatient.part-7": "MimicPatient",
+        "MimicPatient.part-1234567": "MimicPatient",
+        "Ward-12345": "Ward-12345",
+        "Ward-12345.part-0": "Ward-12345",
+        "Beds": "Beds",
+    }
+    for name in families:
+        write_gz(f"{folder}/{name}.ndjson.gz", [{"id": "1"}])
+    rows = ndjson.source_files(spark, folder).collect()
+    names = [f"{name}.ndjson.gz" for name in families]
+    assert [r.source_file for r in rows] == sorted(names)
+    assert [r.resource_family for r in rows] == [
+        families[name.removesuffix(".ndjson.gz")] for name in sorted(names)
+    ]
 
 
 BAD_LINES = [
@@ -122,7 +133,7 @@ def test_bronze_rows_and_counts(spark, folder, write_gz):
 def test_bronze_part_size(spark, folder, write_gz):
     items = [{"resourceType": "Patient", "id": str(i)} for i in range(25)]
     write_gz(f"{folder}/P.ndjson.gz", items)
-    run_bronze(spark, folder, max_records_per_file=10, partitions=1)
+    run_bronze(spark, folder, max_records_per_file=10)
     files = bronze.written_files(spark, f"{folder}-out").count()
     assert files == 3
 
@@ -140,14 +151,15 @@ def test_bad_line_modes(spark, folder, write_gz):
         run_bronze(spark, folder, on_bad_line="ignore")
 
 
-def test_spread_only_when_a_file_is_too_large(spark, folder, write_gz):
-    write_gz(f"{folder}/Big.ndjson.gz", [{"id": str(i * 7919)} for i in range(5000)])
-    assert bronze.spread_partitions(spark, folder) == 8
-    even = f"{folder}/even"
-    __import__("os").mkdir(even)
+def test_bronze_is_rebalanced_by_type(spark, folder, write_gz):
+    """Few files per type however the sources are cut, and all rows in them."""
+    kinds = ["Patient", "Encounter", "Observation"]
     for i in range(20):
-        write_gz(f"{even}/F{i}.ndjson.gz", [{"id": str(n)} for n in range(50)])
-    assert bronze.spread_partitions(spark, even) is None
+        rows = [{"resourceType": kinds[n % 3], "id": f"{i}-{n}"} for n in range(60)]
+        write_gz(f"{folder}/F{i}.ndjson.gz", rows)
+    done = run_bronze(spark, folder)
+    assert done.total_rows == 1200
+    assert bronze.written_files(spark, f"{folder}-out").count() <= 2 * len(kinds)
 
 
 def test_manifest_comparison(spark, folder):
@@ -157,9 +169,9 @@ def test_manifest_comparison(spark, folder):
     )
     rows = spark.createDataFrame([("A",), ("A",), ("C",)], "source_file string")
     found = bronze.bronze_mismatches(manifest, rows).collect()
-    assert {r.source_file for r in found} == {"B", "C"}
-    strict = bronze.bronze_mismatches(manifest, rows, empty_files_fail=True).collect()
-    assert {r.source_file for r in strict} == {"B", "C", "Empty"}
+    assert {r.source_file for r in found} == {"B", "C", "Empty"}
+    lenient = bronze.bronze_mismatches(manifest, rows, empty_files_fail=False).collect()
+    assert {r.source_file for r in lenient} == {"B", "C"}
 
 
 def test_canonical_json(spark):

@@ -6,6 +6,15 @@ Layer tables (``s_``, ``g_``, ``b_``) are spelled out in
 
 from __future__ import annotations
 
+from wardlake.harness.oracle_rules import (
+    EXPECTED_LINEAGE,
+    EXPECTED_LINEAGE_KIND,
+    EXPECTED_LINEAGE_TEXT,
+    EXPECTED_PATTERNS,
+    EXPECTED_RULES,
+    EXPECTED_SCOPE,
+    EXPECTED_TABLES,
+)
 from wardlake.harness.oracle_tables import (
     ENCOUNTER_FAMILY,
     EVENT_NUMBER,
@@ -15,8 +24,7 @@ from wardlake.harness.oracle_tables import (
     instant,
     with_tables,
 )
-from wardlake.harness.queries import KNOWN_COUNTS
-from wardlake.operators.privacy import PATTERNS, SCAN_COLUMNS, column_rules
+from wardlake.harness.queries import COUNTED_AS, WRONG_COUNTS
 from wardlake.plans.registry import GOLD_TABLES, RESOURCE_TABLES, SILVER_TABLES
 
 ORACLES: dict[str, str] = {}
@@ -40,7 +48,12 @@ def whole(expression: str) -> str:
 
 # --- sources --------------------------------------------------------------
 
-expect("src_1_source_files", "SELECT DISTINCT resource_family FROM b_resources")
+expect(
+    "src_1_source_files",
+    """SELECT resource_family, CAST(row_number() OVER (
+  ORDER BY resource_family || '.') AS INTEGER) AS place
+FROM (SELECT DISTINCT resource_family FROM b_resources)""",
+)
 expect(
     "src_2_ndjson_scan",
     "SELECT resource_family, count(*) AS row_count FROM b_resources GROUP BY 1",
@@ -51,7 +64,8 @@ expect(
 WITH l AS (
   SELECT o_orderkey AS k, {ENCOUNTER_FAMILY} || '.ndjson.gz' AS source_file FROM orders
 ), n AS (
-  SELECT k, source_file, k - min(k) OVER (PARTITION BY source_file) + 1 AS line_number
+  SELECT k, source_file,
+    row_number() OVER (PARTITION BY source_file ORDER BY k) AS line_number
   FROM l
 )
 SELECT source_file, line_number,
@@ -120,7 +134,9 @@ INVENTORY = """(SELECT resource_family, min(resource_type) AS resource_type,
 
 expect(
     "prf_1_resource_inventory",
-    f"SELECT resource_family, resource_type, row_count FROM {INVENTORY}",
+    """SELECT resource_family, min(resource_type) AS resource_type,
+  CASE WHEN count(profile_url) = count(*) THEN min(profile_url) END AS profile_url,
+  count(*) AS row_count FROM b_resources GROUP BY 1""",
 )
 expect(
     "prf_2_inventory_totals",
@@ -367,6 +383,13 @@ expect(
   count(*) AS manifest_rows FROM b_resources""",
 )
 
+expect(
+    "brz_3_empty_file",
+    """SELECT true AS strict, CAST(1 AS BIGINT) AS differing_files,
+  'MimicEmpty.ndjson.gz' AS source_file
+UNION ALL SELECT false, 0, NULL""",
+)
+
 # --- field extraction -----------------------------------------------------
 
 for _key, _columns, _table in (
@@ -598,16 +621,16 @@ LINKS = (
 )
 WARNINGS = {
     "observation_missing_encounter_id": (
-        "FHIR can support observations without encounter references."
+        "An observation may stand outside any encounter."
     ),
     "medication_administration_missing_encounter_id": (
-        "Some medication administrations lack encounter context."
+        "An administration may come without its encounter."
     ),
     "medication_administration_missing_request_id": (
-        "ICU and some hospital administrations are not order-linked."
+        "Administrations, in the ICU above all, may have no order."
     ),
     "medication_dispense_missing_request_id": (
-        "ED dispenses are not order-linked in this source."
+        "Emergency dispenses come without an order."
     ),
 }
 
@@ -680,7 +703,14 @@ RULES = (
     "(VALUES "
     + ", ".join(
         f"({quoted(t)}, {quoted(c)}, {quoted(k)}, {quoted(r)}, {str(p).lower()})"
-        for t, c, k, r, p in column_rules()
+        for t, c, k, p, r in (
+            *EXPECTED_RULES,
+            *(
+                (t, c, EXPECTED_LINEAGE_KIND, False, EXPECTED_LINEAGE_TEXT)
+                for t in EXPECTED_TABLES
+                for c in EXPECTED_LINEAGE
+            ),
+        )
     )
     + ") AS rules(table_name, column_name, classification, rationale, "
     "publishable_default)"
@@ -710,6 +740,11 @@ expect(
 FROM ({POPULATION}) LEFT JOIN {RULES} USING (table_name, column_name)""",
 )
 expect("prv_3_column_findings", FINDINGS)
+expect(
+    "prv_3_findings_of_the_job",
+    f"""SELECT table_name, column_name, classification, rationale, present,
+  publishable_default FROM ({FINDINGS})""",
+)
 expect(
     "prv_8_classification_counts",
     f"""SELECT classification, count(*) AS column_count,
@@ -725,13 +760,21 @@ def matches(column: str, pattern: str) -> str:
 
 expect(
     "prv_4_pattern_matches",
-    "SELECT * FROM (SELECT observation_id, "
-    + ", ".join(
-        f"array_to_string({matches('value', p)}, ' | ') AS {name}"
-        for name, p in PATTERNS.items()
+    "SELECT * FROM ("
+    + union(
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, "
+        f"{column} AS text, row_count, "
+        + ", ".join(
+            f"array_to_string({matches(column, p)}, ' | ') AS {name}"
+            for name, p in EXPECTED_PATTERNS.items()
+        )
+        + f" FROM (SELECT {column}, count(*) AS row_count FROM s_{table} "
+        f"WHERE {column} IS NOT NULL GROUP BY 1)"
+        for table, columns in EXPECTED_SCOPE.items()
+        for column in columns
     )
-    + " FROM s_observation WHERE value IS NOT NULL) WHERE "
-    + " || ".join(PATTERNS)
+    + ") WHERE "
+    + " || ".join(EXPECTED_PATTERNS)
     + " <> ''",
 )
 
@@ -739,31 +782,36 @@ expect(
 def cell_counts(table: str, column: str, name: str) -> str:
     return f"""SELECT '{table}' AS table_name, '{column}' AS column_name,
   '{name}' AS pattern_name, count(*) FILTER (
-    WHERE regexp_matches({column}, {quoted(PATTERNS[name])})) AS match_count
+    WHERE regexp_matches({column}, {quoted(EXPECTED_PATTERNS[name])})) AS match_count
 FROM s_{table}"""
 
 
 CELLS = union(
     cell_counts(table, column, name)
-    for table, columns in SCAN_COLUMNS.items()
+    for table, columns in EXPECTED_SCOPE.items()
     for column in columns
-    for name in PATTERNS
+    for name in EXPECTED_PATTERNS
 )
 expect("prv_6_scan_scope", CELLS)
 
 
-def cell_samples(column: str, name: str) -> str:
-    return f"""SELECT 'observation' AS table_name, '{column}' AS column_name,
+def cell_samples(table: str, column: str, name: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{column}' AS column_name,
   '{name}' AS pattern_name, count(*) AS match_count,
   array_to_string(list_sort(list_distinct(flatten(list(found))))[1:5], ' | ')
     AS sample_matches
-FROM (SELECT {matches(column, PATTERNS[name])} AS found FROM s_observation
+FROM (SELECT {matches(column, EXPECTED_PATTERNS[name])} AS found FROM s_{table}
   WHERE {column} IS NOT NULL) WHERE len(found) > 0 HAVING count(*) > 0"""
 
 
 expect(
     "prv_5_column_scan",
-    union(cell_samples(c, name) for c in ("display", "value") for name in PATTERNS),
+    union(
+        cell_samples(table, column, name)
+        for table, columns in EXPECTED_SCOPE.items()
+        for column in columns
+        for name in EXPECTED_PATTERNS
+    ),
 )
 VERDICT = f"""SELECT count(*) FILTER (WHERE match_count > 0) AS finding_count,
   CASE WHEN count(*) FILTER (WHERE match_count > 0) = 0 THEN 'passed'
@@ -829,7 +877,7 @@ BRONZE_CHECK = check(
     "true",
     "n",
     "'Bronze manifest validates against source inventory'",
-    "Bronze row counts match the source profiling inventory.",
+    "every source file has all its rows",
     "",
     "(SELECT count(*) AS n FROM b_resources)",
 )
@@ -839,7 +887,7 @@ PARITY_CHECKS = check(
     "actual_rows = expected_rows",
     "actual_rows",
     "expected_rows || ' rows from Bronze ' || resource_type",
-    "Silver table row count matches Bronze resource-type count.",
+    "one row per resource",
     "",
     f"({PARITY})",
 )
@@ -881,8 +929,8 @@ REQUIRED_CHECKS = union(
         "n = 0",
         "n",
         quoted(words),
-        "No missing ids.",
-        "Missing ids found.",
+        "all ids are there",
+        "rows lack an id",
         f"(SELECT count(*) AS n FROM s_{table} WHERE "
         + " OR ".join(f"{c} IS NULL" for c in columns.split())
         + ")",
@@ -897,9 +945,8 @@ RELATION_CHECKS = union(
             "n = 0",
             "n",
             "'0 orphan populated references'",
-            "All populated Silver patient, encounter, medication, and request "
-            "references resolve.",
-            "One or more populated Silver references do not resolve.",
+            "every reference that is given leads to a row",
+            "references lead to rows that do not exist",
             f"(SELECT {whole('sum(value)')} AS n FROM ({ORPHANS}))",
         ),
         f"""SELECT metric, 'relationships', 'warn', CAST(value AS VARCHAR),
@@ -912,8 +959,8 @@ PRIVACY_CHECK = check(
     "finding_count = 0",
     "finding_count",
     "'0 unexpected pattern findings'",
-    "No email, phone, SSN, IP, or URL-like values found in scanned fields.",
-    "Unexpected identifier-like values require review.",
+    "no scanned field holds a match",
+    "scanned fields hold matches to look at",
     f"({VERDICT})",
 )
 SURFACE_CHECKS = check(
@@ -922,8 +969,8 @@ SURFACE_CHECKS = check(
     "row_count > 0",
     "row_count",
     "'rows present and forbidden identifier columns absent'",
-    "Gold validation passed for this table.",
-    "Gold table has no rows or exposes forbidden columns.",
+    "has rows and no forbidden column",
+    "empty, or with a forbidden column",
     f"({row_counts('g', GOLD_NAMES)})",
 )
 
@@ -936,7 +983,7 @@ def gold_check(name: str, expected: str, count: str) -> str:
         "n",
         quoted(expected),
         "",
-        "Gold metric issue.",
+        "rows break the rule",
         f"(SELECT {count})",
     )
 
@@ -1020,9 +1067,11 @@ expect(
     "qlt_14_expected_counts",
     f"""SELECT name, layer, CASE WHEN n = wanted THEN 'pass' ELSE 'fail' END AS status,
   CAST(n AS VARCHAR) AS observed, CAST(wanted AS VARCHAR) AS expected
-FROM ({NAMED_ROWS}) JOIN (VALUES {", ".join(
-        f"('{name}', {count})" for name, count in KNOWN_COUNTS.items())})
-  AS known(name, wanted) USING (name)""",
+FROM ({NAMED_ROWS}) JOIN ({union([
+        *[f"SELECT '{n}' AS name, count(*) AS wanted FROM {t}"
+          for n, t in COUNTED_AS.items()],
+        *[f"SELECT '{n}', {count}" for n, count in WRONG_COUNTS.items()],
+    ])}) AS known USING (name)""",
 )
 
 # --- marts ----------------------------------------------------------------
@@ -1168,7 +1217,7 @@ FROM ({REPORT})""",
             f"""SELECT 'references resolve', {whole("sum(value)")},
   coalesce(sum(value), 0) = 0 FROM ({ORPHANS})""",
             f"""SELECT 'patients as expected', count(*),
-  count(*) = {KNOWN_COUNTS["silver_patient"]} FROM s_patient""",
+  count(*) = (SELECT count(*) FROM customer) FROM s_patient""",
             """SELECT 'procedures as expected', count(*), count(*) = 1
 FROM s_procedure""",
         ]
@@ -1205,4 +1254,11 @@ for _key, _sql in (("job_1_pipeline", STEPS), ("job_2_run_log", JOB_LOG)):
         .replace("WHEN l_partkey % 67 = 0 THEN 'r-x'", "")
     )
 
+expect(
+    "job_1_clean_pipeline",
+    f"""SELECT step, name, 'success' AS status,
+  name NOT IN ('relationships', 'privacy') AS has_rows
+FROM (SELECT step, name FROM ({STEPS}))""",
+)
+
 __all__ = ["ORACLES"]

@@ -28,6 +28,7 @@ from wardlake.sources.bronze import read_bronze
 from wardlake.sources.tables import (
     read_gold,
     read_silver,
+    run_together,
     shared_folder,
     write_gold,
     write_silver,
@@ -59,6 +60,13 @@ GOLD_INPUTS = {
 }
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Remove a folder when the session's file system closes."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(conf).deleteOnExit(target)
+
+
 class Lake:
     """Layer tables of one source folder in one session."""
 
@@ -66,6 +74,7 @@ class Lake:
         self.spark = spark
         self.sf_dir = sf_dir
         self.root = f"{shared_folder(spark)}/lake-{uuid.uuid4().hex}"
+        delete_at_end(spark, self.root)
         self._done: set[str] = set()
         self._lock = threading.RLock()
 
@@ -127,23 +136,71 @@ class Lake:
         return {name: self.gold(name) for name in wanted}
 
     def landing(self) -> str:
-        """Folder of gzipped NDJSON source files, one or more per family."""
-        path = f"{self.root}/landing"
-        self._once("landing", lambda: write_landing(self.spark, self.sf_dir, path))
+        """Folder of gzipped NDJSON source files, one or more per family.
+
+        Order and medication links all resolve here, so that a run gets past its
+        Silver check; other references and the texts are as they come.
+        """
+        lines = (
+            testbed.source_lines(self.spark, self.sf_dir, kind, dangling=False)
+            for kind in RESOURCE_TYPES
+        )
+        return self.landed("landing", lines)
+
+    def clean_landing(self) -> str:
+        """The landing without what fails a run: resources with a reference that
+        leads nowhere, and free-text notes."""
+        return self.landed("clean", [self._resolving_lines()])
+
+    def _resolving_lines(self) -> DataFrame:
+        """Lines whose references all lead to a line that is kept. One round for each
+        link of the chain from ingredient to medication, order and administration."""
+        lines = self.stored(
+            "source_lines", lambda: testbed.all_source_lines(self.spark, self.sf_dir)
+        )
+        targets = ("Patient", "Encounter", "Medication", "MedicationRequest")
+        kinds = "|".join(targets)
+        # A reference with its kind may be a plain text; one without is an object's.
+        tails = F.concat(
+            *[
+                F.regexp_extract_all("value", F.lit(pattern), F.lit(1))
+                for pattern in (rf'"(?:[^"]*/)?(?:{kinds})/([^"/]*)"',
+                                r'"reference":"([^"/]*)"')
+            ]
+        )
+        links = self.stored(
+            "links", lambda: lines.select("kind", "id", F.explode(tails).alias("tail"))
+        )
+        ids = lines.filter(F.col("kind").isin(*targets)).select("kind", "id")
+        lost = None
+        for number in range(4):
+            known = ids if lost is None else ids.join(lost, ["kind", "id"], "left_anti")
+            found = links.join(
+                known.select(F.col("id").alias("tail")).distinct(), "tail", "left_anti"
+            )
+            lost = self.stored(
+                f"lost-{number}",
+                lambda found=found: found.select("kind", "id").distinct(),
+            )
+        return lines.join(lost, ["kind", "id"], "left_anti").select(
+            "source_file", "value"
+        )
+
+    def landed(self, label: str, lines: Iterable[DataFrame]) -> str:
+        path = f"{self.root}/{label}"
+        self._once(label, lambda: write_landing(self.spark, lines, path))
         return path
 
 
-def write_landing(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Write every resource family as ``<family>[-NNNNN].ndjson.gz``.
+def write_landing(spark: SparkSession, lines: Iterable[DataFrame], path: str) -> None:
+    """Write ``source_file, value`` rows as ``<family>[.part-N].ndjson.gz``.
 
-    Order and medication links all resolve here, so that a whole run gets past
-    its Silver check. Spark writes the compressed parts; the driver renames them.
+    Spark writes the compressed parts; they are renamed several at a time.
     """
     work = f"{path}-parts"
-    for kind in RESOURCE_TYPES:
-        lines = testbed.source_lines(spark, sf_dir, kind, dangling=False)
+    for some in lines:
         family = F.regexp_replace("source_file", r"\.ndjson\.gz$", "")
-        lines.select(family.alias("family"), "value").write.mode("append").partitionBy(
+        some.select(family.alias("family"), "value").write.mode("append").partitionBy(
             "family"
         ).option("compression", "gzip").text(work)
     jvm = spark.sparkContext._jvm
@@ -151,20 +208,23 @@ def write_landing(spark: SparkSession, sf_dir: str, path: str) -> None:
     hadoop_path = jvm.org.apache.hadoop.fs.Path
     fs = hadoop_path(work).getFileSystem(conf)
     fs.mkdirs(hadoop_path(path))
+    moves = {}
     for folder in fs.listStatus(hadoop_path(work)):
         name = folder.getPath().getName()
         if not name.startswith("family="):
             continue
-        family = name.removeprefix("family=")
         parts = sorted(
             str(status.getPath())
             for status in fs.listStatus(folder.getPath())
             if status.getPath().getName().startswith("part-")
         )
         for number, part in enumerate(parts):
-            shard = f"-{number:05d}" if len(parts) > 1 else ""
-            target = f"{path}/{family}{shard}.ndjson.gz"
-            fs.rename(hadoop_path(part), hadoop_path(target))
+            shard = f".part-{number}" if len(parts) > 1 else ""
+            target = f"{path}/{name.removeprefix('family=')}{shard}.ndjson.gz"
+            moves[part] = lambda a=part, b=target: fs.rename(
+                hadoop_path(a), hadoop_path(b)
+            )
+    run_together(moves, width=8)
     fs.delete(hadoop_path(work), True)
 
 

@@ -682,6 +682,28 @@ def source_lines(
     return BUILDERS[resource_type](spark, sf_dir, **options)
 
 
+def all_source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kind, id, source_file, value`` of all resources but notes, and but stays and
+    procedures that lack a required reference; order and medication links resolve."""
+    parts = [
+        source_lines(spark, sf_dir, kind, dangling=False).select(
+            F.lit(kind).alias("kind"),
+            F.get_json_object("value", "$.id").alias("id"),
+            "source_file",
+            "value",
+        )
+        for kind in BUILDERS
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    kind, value = F.col("kind"), F.col("value")
+    subject = value.rlike(r'"subject":\{[^}]*"reference":"[^"]*[^"/]"')
+    lacking = (kind.isin("Encounter", "Procedure") & ~subject) | ((kind == "Procedure") & ~value.contains("Encounter/"))
+    notes = F.col("source_file").startswith("MimicObservationNotes")
+    return whole.filter(~notes & ~lacking)
+
+
 def bronze_of(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
     """Bronze rows of one type straight from the tables (nothing written)."""
     lines = source_lines(spark, sf_dir, resource_type)

@@ -124,7 +124,9 @@ def encounter_summary(silver: Tables) -> DataFrame:
     )
     activity = encounter_activity(silver)
     counts = [name for name in activity.columns if name != "encounter_id"]
-    joined = left_lookup(stays, activity, "encounter_id")
+    # One stay per encounter: the key needs no spreading, and the join takes over
+    # the exchange of the activity's fold.
+    joined = stays.join(activity, "encounter_id", "left")
     return _finish(
         joined.select(
             stable_key("encounter", F.col("encounter_id")).alias("encounter_key"),
@@ -341,9 +343,8 @@ def observation_daily(silver: Tables, where: Column) -> DataFrame:
         "encounter_id",
         wall_clock(F.col("start_datetime")).cast("date").alias("start_date"),
     )
-    firsts = measured.groupBy("patient_id").agg(
-        F.min("event_date").alias("first_date")
-    )
+    # From the fold per date: the optimiser prunes it to the columns a date needs.
+    firsts = daily.groupBy("patient_id").agg(F.min("event_date").alias("first_date"))
     # Every patient has a first date; the lookup keeps a hot patient splittable.
     placed = left_lookup(
         left_lookup(daily, starts, "encounter_id"), firsts, "patient_id"

@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 1024
-
 
 def left_lookup(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Left outer join on ``key`` in which null keys are spread over all tasks.
 
     A null key matches nothing, yet a plain left join sends all such rows to one
-    task. Here they get one of many made-up keys instead; real keys carry another
-    prefix, so no made-up key can meet a dimension row and the result is the same.
+    task. Here each gets a made-up key from the hash of its row instead; real keys
+    carry another prefix, so no made-up key can meet a dimension row and the result is the same.
     Neither side is hinted: the dimension is broadcast only when its measured size
     allows. Beyond that both sides are exchanged on the derived key, also when the
     dimension is an aggregate already hashed on ``key``: the adaptive skew join can
     split a hot key only between two exchanges.
     """
-    spread = F.pmod(F.xxhash64(*_hashable(facts)), F.lit(NULL_SPREAD))
+    spread = F.xxhash64(*_hashable(facts))
     made_up = F.concat(F.lit("-"), spread.cast("string"))
     real = F.concat(F.lit("+"), F.col(key))
     left = facts.withColumn("_join_key", F.coalesce(real, made_up))

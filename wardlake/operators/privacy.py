@@ -15,71 +15,437 @@ Tables = Mapping[str, DataFrame]
 
 SAMPLE_SIZE = 5
 
-# The governed Silver columns in audit order, one line each:
-# table | column | classification | publishable by default | rationale
-COLUMN_RULES = """
-patient|source_patient_identifier|direct_identifier|no|Raw source subject identifier carried from the FHIR Patient identifier.
-patient|synthetic_patient_name|direct_identifier|no|Synthetic patient label derived from the source subject identifier.
-patient|patient_id|linkage_identifier|no|Stable row-level Patient resource id that links clinical events.
-patient|birth_date|date_precision|no|Fine-grained patient birth date should not be exposed in publishable outputs.
-patient|deceased_datetime|date_precision|no|Fine-grained death timestamp should be generalized before publication.
-patient|gender|demographic_attribute|no|Patient demographic attribute that may contribute to re-identification risk.
-patient|race|demographic_attribute|no|Patient demographic attribute that may contribute to re-identification risk.
-patient|ethnicity|demographic_attribute|no|Patient demographic attribute that may contribute to re-identification risk.
-patient|birth_sex|demographic_attribute|no|Patient demographic attribute that may contribute to re-identification risk.
-patient|marital_status_code|demographic_attribute|no|Patient demographic attribute that may contribute to re-identification risk.
-encounter|encounter_id|linkage_identifier|no|Stable row-level Encounter resource id that links clinical events.
-encounter|patient_id|linkage_identifier|no|Stable Patient id repeated on Encounter rows for joins.
-encounter|start_datetime|date_precision|no|Fine-grained encounter start timestamp should be generalized before publication.
-encounter|end_datetime|date_precision|no|Fine-grained encounter end timestamp should be generalized before publication.
-encounter|admit_source|clinical_attribute|yes|Encounter attribute that describes care context.
-encounter|discharge_disposition|clinical_attribute|yes|Encounter attribute that describes care outcome context.
-observation|observation_id|linkage_identifier|no|Stable row-level Observation resource id.
-observation|patient_id|linkage_identifier|no|Stable Patient id repeated on Observation rows for joins.
-observation|encounter_id|linkage_identifier|no|Stable Encounter id repeated on Observation rows for joins.
-observation|effective_datetime|date_precision|no|Fine-grained observation timestamp should be generalized before publication.
-observation|issued_datetime|date_precision|no|Fine-grained issued timestamp should be generalized before publication.
-observation|display|clinical_attribute|yes|Clinical display text should be reviewed before broad publication.
-observation|value|clinical_free_text|yes|String observation values may contain unexpected free-text content.
-condition|condition_id|linkage_identifier|no|Stable row-level Condition resource id.
-condition|patient_id|linkage_identifier|no|Stable Patient id repeated on Condition rows for joins.
-condition|encounter_id|linkage_identifier|no|Stable Encounter id repeated on Condition rows for joins.
-condition|display|clinical_attribute|yes|Clinical diagnosis display text should be reviewed before broad publication.
-medication|medication_id|linkage_identifier|no|Stable row-level Medication resource id.
-medication|medication_display|clinical_attribute|yes|Medication display text should be reviewed before broad publication.
-medication|medication_text|clinical_attribute|yes|Medication concept text should be reviewed before broad publication.
-medication_ingredient|medication_id|linkage_identifier|no|Parent Medication resource id for mixture ingredients.
-medication_ingredient|ingredient_medication_id|linkage_identifier|no|Referenced ingredient Medication resource id.
-medication_request|medication_request_id|linkage_identifier|no|Stable row-level MedicationRequest resource id.
-medication_request|patient_id|linkage_identifier|no|Stable Patient id repeated on MedicationRequest rows for joins.
-medication_request|encounter_id|linkage_identifier|no|Stable Encounter id repeated on MedicationRequest rows for joins.
-medication_request|authored_datetime|date_precision|no|Fine-grained medication order timestamp should be generalized in Gold.
-medication_request|medication_display|clinical_attribute|yes|Medication order display text should be reviewed before publication.
-medication_administration|medication_administration_id|linkage_identifier|no|Stable row-level MedicationAdministration resource id.
-medication_administration|patient_id|linkage_identifier|no|Stable Patient id repeated on administration rows for joins.
-medication_administration|encounter_id|linkage_identifier|no|Stable Encounter id repeated on administration rows for joins.
-medication_administration|effective_start_datetime|date_precision|no|Fine-grained administration timestamp should be generalized in Gold.
-medication_administration|effective_end_datetime|date_precision|no|Fine-grained administration end timestamp should be generalized in Gold.
-medication_administration|medication_display|clinical_attribute|yes|Medication administration display text should be reviewed.
-medication_dispense|medication_dispense_id|linkage_identifier|no|Stable row-level MedicationDispense resource id.
-medication_dispense|patient_id|linkage_identifier|no|Stable Patient id repeated on dispense rows for joins.
-medication_dispense|encounter_id|linkage_identifier|no|Stable Encounter id repeated on dispense rows for joins.
-medication_dispense|when_handed_over_datetime|date_precision|no|Fine-grained dispense timestamp should be generalized in Gold.
-medication_dispense|medication_display|clinical_attribute|yes|Medication dispense display text should be reviewed.
-medication_dispense|medication_text|clinical_attribute|yes|Medication dispense text should be reviewed.
-medication_statement|medication_statement_id|linkage_identifier|no|Stable row-level MedicationStatement resource id.
-medication_statement|patient_id|linkage_identifier|no|Stable Patient id repeated on medication statement rows for joins.
-medication_statement|encounter_id|linkage_identifier|no|Stable Encounter id repeated on medication statement rows for joins.
-medication_statement|date_asserted_datetime|date_precision|no|Fine-grained asserted medication timestamp should be generalized in Gold.
-medication_statement|medication_display|clinical_attribute|yes|Medication statement display text should be reviewed.
-medication_statement|medication_text|clinical_attribute|yes|Medication statement text should be reviewed.
-procedure|procedure_id|linkage_identifier|no|Stable row-level Procedure resource id.
-procedure|patient_id|linkage_identifier|no|Stable Patient id repeated on Procedure rows for joins.
-procedure|encounter_id|linkage_identifier|no|Stable Encounter id repeated on Procedure rows for joins.
-procedure|performed_start_datetime|date_precision|no|Fine-grained procedure timestamp should be generalized in Gold.
-procedure|performed_end_datetime|date_precision|no|Fine-grained procedure end timestamp should be generalized in Gold.
-procedure|procedure_display|clinical_attribute|yes|Procedure display text should be reviewed before broad publication.
-"""
+# The governed Silver columns in audit order, each as table, column,
+# classification, publishable by default, and rationale.
+COLUMN_RULES = (
+    (
+        "patient",
+        "source_patient_identifier",
+        "direct_identifier",
+        False,
+        "Raw source subject identifier carried from the FHIR Patient identifier.",
+    ),
+    (
+        "patient",
+        "synthetic_patient_name",
+        "direct_identifier",
+        False,
+        "Synthetic patient label derived from the source subject identifier.",
+    ),
+    (
+        "patient",
+        "patient_id",
+        "linkage_identifier",
+        False,
+        "Stable row-level Patient resource id that links clinical events.",
+    ),
+    (
+        "patient",
+        "birth_date",
+        "date_precision",
+        False,
+        "Fine-grained patient birth date should not be exposed in publishable outputs.",
+    ),
+    (
+        "patient",
+        "deceased_datetime",
+        "date_precision",
+        False,
+        "Fine-grained death timestamp should be generalized before publication.",
+    ),
+    (
+        "patient",
+        "gender",
+        "demographic_attribute",
+        False,
+        "Patient demographic attribute that may contribute to re-identification risk.",
+    ),
+    (
+        "patient",
+        "race",
+        "demographic_attribute",
+        False,
+        "Patient demographic attribute that may contribute to re-identification risk.",
+    ),
+    (
+        "patient",
+        "ethnicity",
+        "demographic_attribute",
+        False,
+        "Patient demographic attribute that may contribute to re-identification risk.",
+    ),
+    (
+        "patient",
+        "birth_sex",
+        "demographic_attribute",
+        False,
+        "Patient demographic attribute that may contribute to re-identification risk.",
+    ),
+    (
+        "patient",
+        "marital_status_code",
+        "demographic_attribute",
+        False,
+        "Patient demographic attribute that may contribute to re-identification risk.",
+    ),
+    (
+        "encounter",
+        "encounter_id",
+        "linkage_identifier",
+        False,
+        "Stable row-level Encounter resource id that links clinical events.",
+    ),
+    (
+        "encounter",
+        "patient_id",
+        "linkage_identifier",
+        False,
+        "Stable Patient id repeated on Encounter rows for joins.",
+    ),
+    (
+        "encounter",
+        "start_datetime",
+        "date_precision",
+        False,
+        "Fine-grained encounter start timestamp should be generalized before publication.",
+    ),
+    (
+        "encounter",
+        "end_datetime",
+        "date_precision",
+        False,
+        "Fine-grained encounter end timestamp should be generalized before publication.",
+    ),
+    (
+        "encounter",
+        "admit_source",
+        "clinical_attribute",
+        True,
+        "Encounter attribute that describes care context.",
+    ),
+    (
+        "encounter",
+        "discharge_disposition",
+        "clinical_attribute",
+        True,
+        "Encounter attribute that describes care outcome context.",
+    ),
+    (
+        "observation",
+        "observation_id",
+        "linkage_identifier",
+        False,
+        "Stable row-level Observation resource id.",
+    ),
+    (
+        "observation",
+        "patient_id",
+        "linkage_identifier",
+        False,
+        "Stable Patient id repeated on Observation rows for joins.",
+    ),
+    (
+        "observation",
+        "encounter_id",
+        "linkage_identifier",
+        False,
+        "Stable Encounter id repeated on Observation rows for joins.",
+    ),
+    (
+        "observation",
+        "effective_datetime",
+        "date_precision",
+        False,
+        "Fine-grained observation timestamp should be generalized before publication.",
+    ),
+    (
+        "observation",
+        "issued_datetime",
+        "date_precision",
+        False,
+        "Fine-grained issued timestamp should be generalized before publication.",
+    ),
+    (
+        "observation",
+        "display",
+        "clinical_attribute",
+        True,
+        "Clinical display text should be reviewed before broad publication.",
+    ),
+    (
+        "observation",
+        "value",
+        "clinical_free_text",
+        True,
+        "String observation values may contain unexpected free-text content.",
+    ),
+    (
+        "condition",
+        "condition_id",
+        "linkage_identifier",
+        False,
+        "Stable row-level Condition resource id.",
+    ),
+    (
+        "condition",
+        "patient_id",
+        "linkage_identifier",
+        False,
+        "Stable Patient id repeated on Condition rows for joins.",
+    ),
+    (
+        "condition",
+        "encounter_id",
+        "linkage_identifier",
+        False,
+        "Stable Encounter id repeated on Condition rows for joins.",
+    ),
+    (
+        "condition",
+        "display",
+        "clinical_attribute",
+        True,
+        "Clinical diagnosis display text should be reviewed before broad publication.",
+    ),
+    (
+        "medication",
+        "medication_id",
+        "linkage_identifier",
+        False,
+        "Stable row-level Medication resource id.",
+    ),
+    (
+        "medication",
+        "medication_display",
+        "clinical_attribute",
+        True,
+        "Medication display text should be reviewed before broad publication.",
+    ),
+    (
+        "medication",
+        "medication_text",
+        "clinical_attribute",
+        True,
+        "Medication concept text should be reviewed before broad publication.",
+    ),
+    (
+        "medication_ingredient",
+        "medication_id",
+        "linkage_identifier",
+        False,
+        "Parent Medication resource id for mixture ingredients.",
+    ),
+    (
+        "medication_ingredient",
+        "ingredient_medication_id",
+        "linkage_identifier",
+        False,
+        "Referenced ingredient Medication resource id.",
+    ),
+    (
+        "medication_request",
+        "medication_request_id",
+        "linkage_identifier",
+        False,
+        "Stable row-level MedicationRequest resource id.",
+    ),
+    (
+        "medication_request",
+        "patient_id",
+        "linkage_identifier",
+        False,
+        "Stable Patient id repeated on MedicationRequest rows for joins.",
+    ),
+    (
+        "medication_request",
+        "encounter_id",
+        "linkage_identifier",
+        False,
+        "Stable Encounter id repeated on MedicationRequest rows for joins.",
+    ),
+    (
+        "medication_request",
+        "authored_datetime",
+        "date_precision",
+        False,
+        "Fine-grained medication order timestamp should be generalized in Gold.",
+    ),
+    (
+        "medication_request",
+        "medication_display",
+        "clinical_attribute",
+        True,
+        "Medication order display text should be reviewed before publication.",
+    ),
+    (
+        "medication_administration",
+        "medication_administration_id",
+        "linkage_identifier",
+        False,
+        "Stable row-level MedicationAdministration resource id.",
+    ),
+    (
+        "medication_administration",
+        "patient_id",
+        "linkage_identifier",
+        False,
+        "Stable Patient id repeated on administration rows for joins.",
+    ),
+    (
+        "medication_administration",
+        "encounter_id",
+        "linkage_identifier",
+        False,
+        "Stable Encounter id repeated on administration rows for joins.",
+    ),
+    (
+        "medication_administration",
+        "effective_start_datetime",
+        "date_precision",
+        False,
+        "Fine-grained administration timestamp should be generalized in Gold.",
+    ),
+    (
+        "medication_administration",
+        "effective_end_datetime",
+        "date_precision",
+        False,
+        "Fine-grained administration end timestamp should be generalized in Gold.",
+    ),
+    (
+        "medication_administration",
+        "medication_display",
+        "clinical_attribute",
+        True,
+        "Medication administration display text should be reviewed.",
+    ),
+    (
+        "medication_dispense",
+        "medication_dispense_id",
+        "linkage_identifier",
+        False,
+        "Stable row-level MedicationDispense resource id.",
+    ),
+    (
+        "medication_dispense",
+        "patient_id",
+        "linkage_identifier",
+        False,
+        "Stable Patient id repeated on dispense rows for joins.",
+    ),
+    (
+        "medication_dispense",
+        "encounter_id",
+        "linkage_identifier",
+        False,
+        "Stable Encounter id repeated on dispense rows for joins.",
+    ),
+    (
+        "medication_dispense",
+        "when_handed_over_datetime",
+        "date_precision",
+        False,
+        "Fine-grained dispense timestamp should be generalized in Gold.",
+    ),
+    (
+        "medication_dispense",
+        "medication_display",
+        "clinical_attribute",
+        True,
+        "Medication dispense display text should be reviewed.",
+    ),
+    (
+        "medication_dispense",
+        "medication_text",
+        "clinical_attribute",
+        True,
+        "Medication dispense text should be reviewed.",
+    ),
+    (
+        "medication_statement",
+        "medication_statement_id",
+        "linkage_identifier",
+        False,
+        "Stable row-level MedicationStatement resource id.",
+    ),
+    (
+        "medication_statement",
+        "patient_id",
+        "linkage_identifier",
+        False,
+        "Stable Patient id repeated on medication statement rows for joins.",
+    ),
+    (
+        "medication_statement",
+        "encounter_id",
+        "linkage_identifier",
+        False,
+        "Stable Encounter id repeated on medication statement rows for joins.",
+    ),
+    (
+        "medication_statement",
+        "date_asserted_datetime",
+        "date_precision",
+        False,
+        "Fine-grained asserted medication timestamp should be generalized in Gold.",
+    ),
+    (
+        "medication_statement",
+        "medication_display",
+        "clinical_attribute",
+        True,
+        "Medication statement display text should be reviewed.",
+    ),
+    (
+        "medication_statement",
+        "medication_text",
+        "clinical_attribute",
+        True,
+        "Medication statement text should be reviewed.",
+    ),
+    (
+        "procedure",
+        "procedure_id",
+        "linkage_identifier",
+        False,
+        "Stable row-level Procedure resource id.",
+    ),
+    (
+        "procedure",
+        "patient_id",
+        "linkage_identifier",
+        False,
+        "Stable Patient id repeated on Procedure rows for joins.",
+    ),
+    (
+        "procedure",
+        "encounter_id",
+        "linkage_identifier",
+        False,
+        "Stable Encounter id repeated on Procedure rows for joins.",
+    ),
+    (
+        "procedure",
+        "performed_start_datetime",
+        "date_precision",
+        False,
+        "Fine-grained procedure timestamp should be generalized in Gold.",
+    ),
+    (
+        "procedure",
+        "performed_end_datetime",
+        "date_precision",
+        False,
+        "Fine-grained procedure end timestamp should be generalized in Gold.",
+    ),
+    (
+        "procedure",
+        "procedure_display",
+        "clinical_attribute",
+        True,
+        "Procedure display text should be reviewed before broad publication.",
+    ),
+)
 LINEAGE_CLASSIFICATION = "lineage_metadata"
 LINEAGE_RATIONALE = (
     "Operational lineage column for traceability, not a Gold presentation field."
@@ -112,10 +478,10 @@ SCAN_COLUMNS = {
 
 def column_rules() -> list[tuple[str, str, str, str, bool]]:
     """(table, column, classification, rationale, publishable) of all 138 rules."""
-    explicit = []
-    for line in COLUMN_RULES.strip().splitlines():
-        table, column, kind, publishable, rationale = line.split("|")
-        explicit.append((table, column, kind, rationale, publishable == "yes"))
+    explicit = [
+        (table, column, kind, rationale, publishable)
+        for table, column, kind, publishable, rationale in COLUMN_RULES
+    ]
     lineage = [
         (table.name, column, LINEAGE_CLASSIFICATION, LINEAGE_RATIONALE, False)
         for table in SILVER_TABLES
@@ -368,7 +734,11 @@ def pattern_samples(
 
 
 def pattern_findings(silver: Tables, sample_size: int = SAMPLE_SIZE) -> DataFrame:
-    """Cells with matches: row count and a few sample matches."""
+    """Cells with matches: row count and a few sample matches.
+
+    The samples are the first matches in text order: rows of a distributed table
+    have no order of their own, and so reruns agree.
+    """
     counts = pattern_counts(silver).filter(F.col("match_count") > 0)
     samples = pattern_samples(silver, sample_size)
     cell = ["table_name", "column_name", "pattern_name"]

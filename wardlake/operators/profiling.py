@@ -1,4 +1,4 @@
-"""Profile of the source files: inventory, sampled schema and coverage."""
+"""Profile of the source files: inventory, schema and coverage of whole files."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from wardlake.sources.bronze import first_profile_url
 
-SAMPLE_ROWS = 5_000
-
 # Dotted paths whose presence is measured, the time fields among
 # them, and the families of the core schema report.
 FIELD_PATHS = (
@@ -51,19 +49,38 @@ def is_present(text: Column) -> Column:
     return text.isNotNull() & ~text.isin("", "[]", "{}")
 
 
-def resource_inventory(numbered: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows per source file, with type and profile of the file's first row.
+def file_profiles(resources: DataFrame) -> DataFrame:
+    """One row per source file: everything the profile needs, folded in one scan.
 
-    ``numbered`` carries ``source_file, value, position, row_count``; files
-    without rows come from ``files``.
+    ``resources`` carries ``source_file, value, line_id``. Row count, first row's
+    type and profile, top-level keys, and how many rows hold each measured path.
     """
-    value = F.col("value")
-    firsts = numbered.filter(F.col("position") == 1).select(
+    parsed = resources.withColumn("r", F.from_json("value", _COVERAGE_SCHEMA))
+    shapes = F.collect_set(F.json_object_keys("value"))
+    folded = parsed.groupBy("source_file").agg(
+        F.count("*").alias("row_count"),
+        F.min_by("value", "line_id").alias("first_row"),
+        F.array_sort(F.array_distinct(F.flatten(shapes))).alias("top_level_keys"),
+        *[
+            F.count_if(is_present(F.col(f"r.{path}"))).alias(coverage_column(path))
+            for path in FIELD_PATHS
+        ],
+    )
+    first = F.col("first_row")
+    return folded.select(
         "source_file",
-        F.get_json_object(value, "$.resourceType").alias("resource_type"),
-        first_profile_url(value).alias("profile_url"),
         "row_count",
+        F.get_json_object(first, "$.resourceType").alias("resource_type"),
+        first_profile_url(first).alias("profile_url"),
+        "top_level_keys",
+        *map(coverage_column, FIELD_PATHS),
     )
+
+
+def resource_inventory(profiles: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows per source file, with type and profile of the file's first row; files
+    without rows come from ``files``."""
+    firsts = profiles.select("source_file", "resource_type", "profile_url", "row_count")
     return (
         files.select("source_file", "resource_family")
         .join(firsts, "source_file", "left")
@@ -84,45 +101,25 @@ def inventory_totals(inventory: DataFrame) -> DataFrame:
     )
 
 
-def sampled(numbered: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def sampled(numbered: DataFrame, sample_rows: int) -> DataFrame:
     """The first rows of every file (a sampling operator: the limit is its job)."""
-    return numbered.filter(F.col("position") <= sample_rows)
-
-
-def top_level_keys(sample: DataFrame) -> DataFrame:
-    """Sorted union of the top-level keys seen per file."""
-    keys = sample.select(
-        "source_file", F.explode(F.json_object_keys("value")).alias("key")
-    ).distinct()
-    return keys.groupBy("source_file").agg(
-        F.array_sort(F.collect_set("key")).alias("top_level_keys")
-    )
-
-
-def field_coverage(sample: DataFrame) -> DataFrame:
-    """Rows sampled per file and how many of them hold each measured path."""
-    parsed = sample.select(
-        "source_file", F.from_json("value", _COVERAGE_SCHEMA).alias("r")
-    )
-    return parsed.groupBy("source_file").agg(
-        F.count("*").alias("sampled_rows"),
-        *[
-            F.count_if(is_present(F.col(f"r.{path}"))).alias(coverage_column(path))
-            for path in FIELD_PATHS
-        ],
+    return numbered.filter(F.col("position") <= sample_rows).withColumnRenamed(
+        "position", "line_id"
     )
 
 
-def schema_profile(
-    numbered: DataFrame, files: DataFrame, sample_rows: int = SAMPLE_ROWS
-) -> DataFrame:
-    """Keys and coverage of the sampled rows of every file, empty files too."""
-    sample = sampled(numbered, sample_rows)
-    counts = ["sampled_rows", *map(coverage_column, FIELD_PATHS)]
-    joined = (
-        files.select("source_file", "resource_family")
-        .join(field_coverage(sample), "source_file", "left")
-        .join(top_level_keys(sample), "source_file", "left")
+def schema_profile(profiles: DataFrame, files: DataFrame) -> DataFrame:
+    """Keys and coverage of the profiled rows of every file, empty files too."""
+    covered = [coverage_column(path) for path in FIELD_PATHS]
+    joined = files.select("source_file", "resource_family").join(
+        profiles.select(
+            "source_file",
+            F.col("row_count").alias("sampled_rows"),
+            "top_level_keys",
+            *covered,
+        ),
+        "source_file",
+        "left",
     )
     return joined.select(
         "source_file",
@@ -130,7 +127,7 @@ def schema_profile(
         F.coalesce("top_level_keys", F.array().cast("array<string>")).alias(
             "top_level_keys"
         ),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("sampled_rows", *covered)],
     )
 
 
@@ -167,12 +164,11 @@ def core_schema_signals(profile: DataFrame) -> DataFrame:
 
 __all__ = [
     "core_schema_signals",
-    "field_coverage",
+    "file_profiles",
     "inventory_totals",
     "largest_files",
     "resource_inventory",
     "resource_type_summary",
     "sampled",
     "schema_profile",
-    "top_level_keys",
 ]

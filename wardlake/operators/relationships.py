@@ -90,10 +90,11 @@ def completeness_metrics(silver: Tables) -> DataFrame:
 
 
 def reference_keys(silver: Tables) -> DataFrame:
-    """All populated references as (metric, target, key) with their row count.
+    """All populated references as (target, key) with their row count per metric.
 
     Each table is read once. The fold runs before the shuffle, so a key shared
-    by very many rows becomes one partial row per task.
+    by very many rows becomes one partial row per task; its exchange on target and
+    key is the one the anti join needs.
     """
     parts = []
     for table in SILVER_TABLES:
@@ -113,8 +114,10 @@ def reference_keys(silver: Tables) -> DataFrame:
     return (
         union_all(parts)
         .filter(F.col("key").isNotNull())
-        .groupBy("metric", "target", "key")
-        .agg(F.count("*").alias("n"))
+        .groupBy("target", "key")
+        .agg(
+            *[F.count_if(F.col("metric") == name).alias(name) for name in ORPHAN_METRICS]
+        )
     )
 
 
@@ -135,12 +138,17 @@ def target_keys(silver: Tables) -> DataFrame:
 def orphan_metrics(spark: SparkSession, silver: Tables) -> DataFrame:
     """All nineteen orphan counts from one anti join; zero counts included."""
     require_tables(silver)
-    orphans = (
-        reference_keys(silver)
-        .join(target_keys(silver), ["target", "key"], "left_anti")
-        .groupBy("metric")
-        .agg(F.sum("n").alias("value"))
+    lost = reference_keys(silver).join(
+        target_keys(silver), ["target", "key"], "left_anti"
+    )
+    totals = lost.agg(*[F.sum(name).alias(name) for name in ORPHAN_METRICS])
+    entries = F.array(
+        *[
+            F.struct(F.lit(name).alias("metric"), F.col(name).alias("value"))
+            for name in ORPHAN_METRICS
+        ]
     )
+    orphans = totals.select(F.inline(entries))
     pairs = [(table, ref) for table in SILVER_TABLES for ref in table.references]
     scope = static_table(
         spark,

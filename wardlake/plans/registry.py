@@ -136,7 +136,7 @@ SILVER_TABLES = (
         (
             _patient(),
             _encounter(
-                warning="FHIR can support observations without encounter references."
+                warning="An observation may stand outside any encounter."
             ),
         ),
     ),
@@ -210,13 +210,13 @@ SILVER_TABLES = (
         (
             _patient(),
             _encounter(
-                warning="Some medication administrations lack encounter context."
+                warning="An administration may come without its encounter."
             ),
             Reference(
                 "medication_request_id",
                 "medication_request",
                 short="request_id",
-                warning="ICU and some hospital administrations are not order-linked.",
+                warning="Administrations, in the ICU above all, may have no order.",
             ),
         ),
         medication_event=True,
@@ -240,7 +240,7 @@ SILVER_TABLES = (
                 "medication_request_id",
                 "medication_request",
                 short="request_id",
-                warning="ED dispenses are not order-linked in this source.",
+                warning="Emergency dispenses come without an order.",
             ),
         ),
         medication_event=True,

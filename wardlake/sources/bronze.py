@@ -19,10 +19,6 @@ from wardlake.sources.ndjson import (
     source_files,
 )
 
-# Text of about 256 MB per spread partition; FHIR text packs about twelvefold.
-PARTITION_TEXT_BYTES = 256 << 20
-TEXT_PER_GZIP_BYTE = 12
-
 _ENVELOPE = "struct<resourceType:string,id:string,meta:struct<profile:array<string>>>"
 
 
@@ -50,8 +46,10 @@ def bronze_rows(
     dataset_version: str,
     ingested_at: str,
     canonical: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Bronze rows from lines that hold a resource (``source_file, value``)."""
+    """Bronze rows from lines that hold a resource (``source_file, value``), with
+    the ``keep`` columns of the lines behind them."""
     value = F.col("value")
     # One small parse for the envelope instead of one path lookup per column.
     staged = resources.withColumn("head", F.from_json(value, _ENVELOPE))
@@ -65,37 +63,14 @@ def bronze_rows(
         F.lit(dataset_version).alias("source_dataset_version"),
         F.lit(ingested_at).alias("ingested_at"),
         (canonical_json(value) if canonical else value).alias("raw_json"),
+        *keep,
     )
 
 
-def _source_sizes(spark: SparkSession, source_dir: str) -> tuple[int, int]:
-    """Largest and total size of the source files, from the listing."""
-    row = (
-        source_files(spark, source_dir)
-        .agg(F.max("size_bytes").alias("largest"), F.sum("size_bytes").alias("total"))
-        .first()
-    )
-    return row["largest"] or 0, row["total"] or 0
-
-
-def text_partitions(spark: SparkSession, source_dir: str) -> int:
-    """Partitions that hold about 256 MB of source text each."""
-    _, total = _source_sizes(spark, source_dir)
-    return max(1, total * TEXT_PER_GZIP_BYTE // PARTITION_TEXT_BYTES)
-
-
-def spread_partitions(spark: SparkSession, source_dir: str) -> int | None:
-    """Partitions to spread the lines over, or None when files are even enough.
-
-    A gzip file is one task. When the largest file exceeds the fair share of one
-    core, its task would hold up the parse and leave Bronze in too few row groups
-    to read in parallel; then, and only then, the text is shuffled.
-    """
-    largest, total = _source_sizes(spark, source_dir)
-    cores = spark.sparkContext.defaultParallelism
-    if largest * cores <= total:
-        return None
-    return max(cores, text_partitions(spark, source_dir))
+def source_bytes(spark: SparkSession, source_dir: str) -> int:
+    """Total size of the source files, from the listing."""
+    total = source_files(spark, source_dir).agg(F.sum("size_bytes").alias("total"))
+    return total.first()["total"] or 0
 
 
 def write_bronze(
@@ -109,11 +84,12 @@ def write_bronze(
     canonical: bool = False,
     on_bad_line: str = "fail",
     rejects_path: str | None = None,
-    partitions: int | None = None,
 ) -> BronzeWrite:
     """Scan the sources once and overwrite Bronze, split by resource type.
 
-    Row and reject counts are observed during the write. A bad line fails the
+    A gzip file is one task, so the rows are rebalanced by type before the write:
+    by measured size, large types are split over several tasks and small ones share
+    one, whatever the cluster, and a task writes few files. Row and reject counts are observed during the write. A bad line fails the
     run (its location is looked up only then), or goes to ``rejects_path`` when
     ``on_bad_line`` is ``"quarantine"``.
     """
@@ -121,24 +97,22 @@ def write_bronze(
         raise ValueError(f"Unknown bad-line mode: {on_bad_line}")
     lines = scan_lines(spark, source_dir)
     value = F.col("value")
-    filled = lines.filter(~is_blank(value))
-    wanted = partitions or spread_partitions(spark, source_dir)
-    if wanted:
-        # The id makes the spread repeatable when a task is run again.
-        filled = filled.repartition(wanted, "line_id")
-    # Judged and counted behind the spread: balanced, and in the stage that
-    # writes, where a task run again after a lost executor is not counted twice.
+    filled = lines.filter(~is_blank(value)).withColumn("good", is_resource(value))
+    judged = bronze_rows(
+        filled, dataset_name, dataset_version, ingested_at, canonical, keep=("good",)
+    ).hint("rebalance", "resource_type")
+    # Counted behind the exchange, in the stage that writes, where a task run again
+    # after a lost executor is not counted twice.
     counts = Observation("bronze_write")
-    checked = (
-        filled.withColumn("good", is_resource(value))
-        .observe(
+    rows = (
+        judged.observe(
             counts,
             F.count_if("good").alias("good"),
             F.count_if(~F.col("good")).alias("bad"),
         )
         .filter("good")
+        .drop("good")
     )
-    rows = bronze_rows(checked, dataset_name, dataset_version, ingested_at, canonical)
     writer = rows.write.mode("overwrite").partitionBy("resource_type")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -191,12 +165,12 @@ def bronze_file_counts(bronze: DataFrame) -> DataFrame:
 
 
 def bronze_comparison(
-    manifest: DataFrame, bronze: DataFrame, empty_files_fail: bool = False
+    manifest: DataFrame, bronze: DataFrame, empty_files_fail: bool = True
 ) -> DataFrame:
     """Expected and actual rows per source file, from both directions.
 
-    A source file without rows cannot appear in Bronze; it counts as different
-    only on request.
+    A source file without rows cannot appear in Bronze, so it counts as different
+    unless the caller allows it.
     """
     actual = bronze_file_counts(bronze).withColumnRenamed("row_count", "actual_rows")
     both = manifest.select("source_file", "expected_rows", "total_rows").join(
@@ -212,7 +186,7 @@ def bronze_comparison(
 
 
 def bronze_mismatches(
-    manifest: DataFrame, bronze: DataFrame, empty_files_fail: bool = False
+    manifest: DataFrame, bronze: DataFrame, empty_files_fail: bool = True
 ) -> DataFrame:
     """Source files whose Bronze rows differ from the manifest."""
     compared = bronze_comparison(manifest, bronze, empty_files_fail)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILE_PATTERN = "*.ndjson.gz"
-BROADCAST_FILES = 100_000
 # A family too large for one gzip file may come in numbered shards
-# (``Family-00000.ndjson.gz``); the shard number is not part of the family.
-FAMILY_SUFFIX = r"(-\d{5})?\.ndjson\.gz$"
+# (``Family.part-0.ndjson.gz``); the shard number is not part of the family. The
+# dot and the word keep families apart whose names end in a number.
+FAMILY_SUFFIX = r"(\.part-\d+)?\.ndjson\.gz$"
+PACKING = "spark.sql.files.minPartitionNum"
 
 
 class SourceReadError(ValueError):
@@ -17,7 +21,8 @@ class SourceReadError(ValueError):
 
 
 def source_files(spark: SparkSession, source_dir: str) -> DataFrame:
-    """One row per source file (name, family, bytes), without reading content.
+    """One row per source file (name, family, bytes) in order of the names, without
+    reading content.
 
     A missing directory is an error; other files are left out.
     """
@@ -31,19 +36,25 @@ def source_files(spark: SparkSession, source_dir: str) -> DataFrame:
         name.alias("source_file"),
         resource_family(name).alias("resource_family"),
         F.col("length").alias("size_bytes"),
-    )
+    ).orderBy("source_file")
 
 
-def pin_file_packing(spark: SparkSession) -> None:
-    """Fix how files are packed into tasks for the rest of the session.
+@contextmanager
+def pinned_file_packing(spark: SparkSession) -> Iterator[None]:
+    """Fix how files are packed into tasks while a job runs.
 
     Two scans of the same files must number lines alike. The packing follows the
     core count, which may grow between the scans while executors join; a value
     the session already sets is kept.
     """
-    name = "spark.sql.files.minPartitionNum"
-    if spark.conf.get(name, None) is None:
-        spark.conf.set(name, str(max(1, spark.sparkContext.defaultParallelism)))
+    own = spark.conf.get(PACKING, None)
+    if own is None:
+        spark.conf.set(PACKING, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(PACKING)
 
 
 def scan_lines(spark: SparkSession, source_dir: str) -> DataFrame:
@@ -52,7 +63,6 @@ def scan_lines(spark: SparkSession, source_dir: str) -> DataFrame:
     A gzip file cannot be split, so a file lies in one task and its ids are
     consecutive in file order. Nothing here may shuffle before the id is taken.
     """
-    pin_file_packing(spark)
     return (
         spark.read.option("pathGlobFilter", FILE_PATTERN)
         .text(source_dir)
@@ -101,16 +111,22 @@ def scan_resources(lines: DataFrame, validate: bool = True) -> DataFrame:
 
 
 def file_starts(lines: DataFrame) -> DataFrame:
-    """First id and number of lines per file: one row of some hundred bytes each.
+    """First id and number of lines per file: one row of some hundred bytes each."""
+    return lines.groupBy("source_file").agg(
+        F.min("line_id").alias("first_id"), F.count("*").alias("row_count")
+    )
 
-    The planner cannot know how few they are and would shuffle the text by file,
-    so they are broadcast, as long as the count of input files bounds their size.
+
+def with_starts(lines: DataFrame, starts: DataFrame) -> DataFrame:
+    """Lines with their file's first id and row count.
+
+    Joined on a derived key, so that both sides are exchanged for the join alone:
+    a file with very many lines can then be split at run time.
     """
-    starts = lines.groupBy("source_file").agg(
-        F.min("line_id").alias("first_id"), F.count("*").alias("row_count")
+    key = F.concat(F.col("source_file"), F.lit("/"))
+    return lines.withColumn("_file", key).join(
+        starts.select(key.alias("_file"), "first_id", "row_count"), "_file"
     )
-    few = len(lines.inputFiles()) <= BROADCAST_FILES
-    return F.broadcast(starts) if few else starts
 
 
 def numbered_resources(
@@ -118,14 +134,13 @@ def numbered_resources(
 ) -> DataFrame:
     """Resources with their 1-based position in the file and the file's row count.
 
-    The position comes from a running id taken after the filter, less the first
-    id of the file. Only one small row per file is joined back, so nothing is
-    sorted and no text is shuffled.
+    Only samples by position need it. The position comes from a running id taken
+    after the filter, less the first id of the file.
     """
     running = scan_resources(scan_lines(spark, source_dir), validate).withColumn(
         "line_id", F.monotonically_increasing_id()
     )
-    return running.join(file_starts(running), "source_file").select(
+    return with_starts(running, file_starts(running)).select(
         "source_file",
         "value",
         (F.col("line_id") - F.col("first_id") + 1).alias("position"),
@@ -140,7 +155,7 @@ def scan_rejects(lines: DataFrame) -> DataFrame:
         F.lit("malformed_json")
     )
     bad = lines.filter(~is_blank(value) & ~is_resource(value))
-    return bad.join(file_starts(lines), "source_file").select(
+    return with_starts(bad, file_starts(lines)).select(
         "source_file",
         (F.col("line_id") - F.col("first_id") + 1).alias("line_number"),
         reason.alias("reason"),
