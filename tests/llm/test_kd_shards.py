@@ -52,5 +52,16 @@ def test_documents_are_written_by_target_bytes(docs):
     assert found.select("shard").distinct().count() > 1
 
 
+def test_all_rows_are_carried_over(spark):
+    rows = [(i if i % 3 else None, f"text {i // 2} " * 9, "en", "s") for i in range(300)]
+    rows += [(None, None, "en", "s"), (None, None, "de", "s"), (5, rows[5][1], "de", "t")]
+    rows += rows[:4]
+    frame = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string"
+    )
+    found = sharded_documents(frame, 4000).drop("shard").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(rows, key=str)
+
+
 def test_empty_table(no_docs):
     assert kd_shards(no_docs).count() == 0

@@ -233,20 +233,29 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 def sharded_documents(docs: DataFrame, target_bytes: int = 256 << 20) -> DataFrame:
     """``docs`` with ``shard``, in as many shards as leave ``target_bytes`` in each;
-    rows of a shard lie together. Rows without an id are not carried over."""
+    rows of a shard lie together. Rows with the same id and text share a shard."""
     size = F.octet_length(F.coalesce("text", F.lit(""))) + 1
     total = docs.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, -(-total // target_bytes))
-    found = kd_shards(docs, shards).select(
-        F.col("doc_id").alias("__id"),
-        F.col("text_crc32").alias("__crc"),
-        F.col("shard").alias("__shard"),
-    ).distinct()
+    found = (
+        kd_shards(docs, shards)
+        .groupBy(
+            F.col("doc_id").alias("__id"),
+            F.col("text_crc32").alias("__crc"),
+            F.col("size").alias("__size"),
+        )
+        .agg(F.min("shard").alias("__shard"))
+    )
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("__id"))
+        & (crc == F.col("__crc"))
+        & (size == F.col("__size"))
+    )
     return (
-        docs.join(found, (F.col("doc_id") == F.col("__id")) & (crc == F.col("__crc")))
+        docs.join(found, same)
         .withColumn("shard", F.col("__shard"))
-        .drop("__id", "__crc", "__shard")
+        .drop("__id", "__crc", "__size", "__shard")
         .repartition("shard")
         .sortWithinPartitions("shard", "doc_id")
     )
