@@ -75,6 +75,19 @@ def test_one_row_of_each_component_stays(docs, corpus):
     assert ids == sorted(classes)
 
 
+def test_rows_of_repeated_and_null_ids_stay(spark):
+    rng = np.random.default_rng(3)
+    one, two, three, four, five = (
+        " ".join(f"w{k}" for k in rng.integers(0, 10_000, 80)) for _ in range(5)
+    )
+    rows = [(7, one), (7, two), (3, three), (7, three), (None, four), (None, five)]
+    rows += [(None, four + "\n"), (None, two), (None, one + " "), (7, one)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r[0], r[1].strip()) for r in without_near_duplicates(frame).collect()]
+    expected = [(7, one), (7, two), (3, three), (None, four), (None, five)]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
 def test_crowded_anchors_are_tiled(spark):
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 63, 3, np.uint64)

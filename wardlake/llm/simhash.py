@@ -18,8 +18,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardlake.llm.components import component_roots
 from wardlake.llm.shared import in_workers, stored, text_of
@@ -90,16 +91,20 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             for _, _, data, offs in blocks(batch.column("text"))
         ]
         whole = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        names = [name for name in batch.schema.names if name != "text"]
         yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(whole.view(np.int64))],
-            names=["doc_id", "fp"],
+            [*map(batch.column, names), pa.array(whole.view(np.int64))],
+            names=[*names, "fp"],
         )
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp long) of every document; a text without words has 0."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return in_workers(text_of(docs)).mapInArrow(_fingerprint_batches, f"doc_id {kind}, fp long")
+def fingerprints(docs: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, more, fp long) of every document; a text without words has 0."""
+    rows = text_of(docs, *more)
+    fields = [field for field in rows.schema.fields if field.name != "text"]
+    return in_workers(rows).mapInArrow(
+        _fingerprint_batches, T.StructType([*fields, T.StructField("fp", T.LongType())])
+    )
 
 
 def _syndromes(values: np.ndarray) -> np.ndarray:
@@ -286,6 +291,16 @@ def fingerprint_links(distinct: DataFrame, tile: int = TILE) -> DataFrame:
     return pieces.mapInArrow(_compare_batches, "a long, b long").distinct()
 
 
+def _members(prints: DataFrame, least: Column) -> DataFrame:
+    """(fp, least, root) of every distinct fingerprint."""
+    distinct = stored(prints.groupBy("fp").agg(F.min(least).alias("least")), "distinct")
+    roots = component_roots(fingerprint_links(distinct))
+    member = distinct.join(
+        roots.withColumnRenamed("node", "fp"), "fp", "left"
+    ).select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return stored(member, "members")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, fingerprint, component_id.
 
@@ -296,15 +311,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     table gives an empty result.
     """
     prints = stored(fingerprints(docs), "prints")
-    distinct = stored(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct"
-    )
-    roots = component_roots(fingerprint_links(distinct))
-    member = distinct.join(
-        roots.withColumnRenamed("node", "fp"), "fp", "left"
-    ).select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    member = stored(member, "members")
-    least = member.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    member = _members(prints, F.col("doc_id"))
+    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = member.join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(
         "doc_id",
@@ -313,16 +321,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _row_key() -> Column:
+    """A digest of id and text together; a null id is told from all others."""
+    doc_id = F.concat(F.lit("+"), F.col("doc_id").cast("string"))
+    text = F.coalesce("text", F.lit(""))
+    return F.md5(F.concat_ws("\n", F.coalesce(doc_id, F.lit("-")), text).cast("binary"))
+
+
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their component: those with its id. Of
-    rows that share an id one stays; rows without an id cannot stand for others and
-    all stay."""
-    found = near_duplicates(docs)
-    chosen = (
-        found.filter(F.col("doc_id") == F.col("component_id"))
-        .select(F.col("doc_id").alias("__chosen"))
-        .distinct()
+    """One row of ``docs`` for each component: that with the smallest id, null ids
+    last, and of different texts with that id the one with the smallest digest. An id
+    may repeat, so a row is found again by id and text together."""
+    prints = stored(fingerprints(docs, _row_key().alias("row_key")), "prints")
+    least = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "row_key")
+    chosen = _members(prints, least).groupBy("root").agg(F.min("least").alias("least"))
+    rows = docs.withColumn("__key", _row_key()).join(
+        chosen.select(F.col("least.row_key").alias("__key")), "__key"
     )
-    rows = docs.join(chosen, F.col("doc_id") == F.col("__chosen"))
-    rows = rows.dropDuplicates(["doc_id"]).select(*docs.columns)
-    return rows.unionByName(docs.filter(F.col("doc_id").isNull()))
+    return rows.dropDuplicates(["__key"]).select(*docs.columns)
