@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.llm import search_queries
 from wardlake.llm.exact_dedup import exact_duplicates
 from wardlake.llm.kd_shards import kd_shards
 from wardlake.llm.langid import identify
@@ -90,7 +91,7 @@ QUERIES = {
         op9_packing,
         op10_source_mix,
     )
-}
+} | search_queries.QUERIES
 
 _WHITE, _WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
 
@@ -179,4 +180,4 @@ SELECT doc_id, size, source_size, target,
 FROM third
 """
 
-ORACLES = {"op8_exact_dedup": _EXACT, "op10_source_mix": _MIX}
+ORACLES = {"op8_exact_dedup": _EXACT, "op10_source_mix": _MIX} | search_queries.ORACLES

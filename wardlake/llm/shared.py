@@ -30,14 +30,15 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back, so lineage ends here.
+    ``options`` are those of the Parquet writer.
 
     The table goes away when the session's file system closes.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/corpus-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     parent = jvm.org.apache.hadoop.fs.Path(path).getParent()
     parent.getFileSystem(hadoop).deleteOnExit(parent)
