@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,7 +76,15 @@ def starts_of(
     list must have a place in the same document at most ``slop`` off, and ``away`` is
     the largest such distance."""
     start = lists[0] - moves[0]
-    row = np.searchsorted(first, lists[0], "right") - 1
+    # Most starts end here: is there any place near enough, in whichever document?
+    for places, move in zip(lists[1:], moves[1:], strict=True):
+        low = start + (move - slop)
+        at = np.searchsorted(places, low)
+        inside = at < len(places)
+        start = start[inside][places[at[inside]] <= low[inside] + 2 * slop]
+        if not len(start):
+            return start, start, start
+    row = np.searchsorted(first, start + moves[0], "right") - 1
     away = np.zeros(len(start), np.int64)
     for places, move in zip(lists[1:], moves[1:], strict=True):
         after = np.searchsorted(places, start + move)
@@ -89,59 +98,59 @@ def starts_of(
         stay = best <= slop
         start, row = start[stay], row[stay]
         away = np.maximum(away[stay], best[stay])
-        if not len(start):
-            break
     return row, start, away
 
 
+def _known_terms(lists: pa.Table, wanted: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Of each phrase's terms, in one array, the row of its posting list; and the first
+    of each phrase. Phrases with a term that the block has not are left out."""
+    terms = pa.chunked_array(
+        [c.flatten() for c in wanted.column("terms").chunks], pa.string()
+    )
+    at = pc.fill_null(pc.index_in(terms, lists.column("term").combine_chunks()), -1)
+    size = pc.list_value_length(wanted.column("terms")).to_numpy().astype(np.int64)
+    begin = np.cumsum(size) - size
+    at = at.to_numpy().astype(np.int64)
+    return at, begin[np.minimum.reduceat(at, begin) >= 0]
+
+
 def _match_block(slop: int):
     def run(lists: pa.Table, wanted: pa.Table) -> pa.Table:
-        out = {"row": [], "phrase": [], "start": [], "n": [], "away": []}
-        first = np.zeros(1, np.int64)
-        places: dict[str, np.ndarray] = {}
-        packed: dict[str, bytes] = {}
+        parts: list[tuple] = []
         if wanted.num_rows:
-            for term, one, lengths in zip(
-                lists.column("term").to_pylist(),
-                lists.column("places").to_pylist(),
-                lists.column("lengths").to_pylist(),
-                strict=True,
-            ):
-                if term is None:
-                    first = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
-                else:
-                    packed[term] = one
-        for phrase, terms, moves in zip(
-            wanted.column("phrase").to_pylist(),
-            wanted.column("terms").to_pylist(),
-            wanted.column("moves").to_pylist(),
-            strict=True,
-        ):
-            if not all(term in packed for term in terms):
-                continue
-            for term in terms:
-                if term not in places:
-                    places[term] = places_of(packed[term])
-            row, start, away = starts_of([places[t] for t in terms], moves, first, slop)
-            out["row"].append(row)
-            out["start"].append(start - first[row])
-            out["away"].append(away)
-            out["n"].append(np.full(len(row), len(terms)))
-            out["phrase"].append(pa.array([phrase] * len(row), pa.string()))
-        block = lists if lists.num_rows else wanted
-        number = block.column("block")[0].as_py()
-        whole = {
-            name: np.concatenate([np.zeros(0, np.int64), *out[name]])
-            for name in ("row", "start", "n", "away")
-        }
+            lists, wanted = lists.combine_chunks(), wanted.combine_chunks()
+            at, begins = _known_terms(lists, wanted)
+            moves = pc.list_flatten(wanted.column("moves")).to_numpy().tolist()
+            size = pc.list_value_length(wanted.column("terms")).to_numpy()
+            number = np.repeat(np.arange(len(size)), size)[begins].tolist()
+            packed, at = lists.column("places"), at.tolist()
+            head = pc.index(pc.is_null(lists.column("term")), True).as_py()
+            lengths = lists.column("lengths")[head].values.to_numpy()
+            first = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+            places: dict[int, np.ndarray] = {}
+            for i, low in zip(number, begins.tolist(), strict=True):
+                high = low + int(size[i])
+                for term in at[low:high]:
+                    if term not in places:
+                        places[term] = places_of(packed[term].as_buffer())
+                found = [places[term] for term in at[low:high]]
+                row, start, away = starts_of(found, moves[low:high], first, slop)
+                if len(row):
+                    n = np.full(len(row), high - low)
+                    parts.append((row, start - first[row], n, away, np.full(len(row), i)))
+        none = np.zeros(0, np.int64)
+        whole = map(np.concatenate, zip(*parts, strict=True)) if parts else [none] * 5
+        row, start, n, away, which = whole
+        block = (lists if lists.num_rows else wanted).column("block")[0].as_py()
+        phrase = wanted.column("phrase").take(pa.array(which)) if parts else pa.array([], pa.string())
         return pa.table(
             {
-                "block": pa.array(np.full(len(whole["row"]), number)),
-                "row": pa.array(whole["row"].astype(np.int32)),
-                "phrase": pa.chunked_array(out["phrase"], pa.string()),
-                "start": pa.array(whole["start"]),
-                "n": pa.array(whole["n"]),
-                "away": pa.array(whole["away"]),
+                "block": pa.array(np.full(len(row), block)),
+                "row": pa.array(row.astype(np.int32)),
+                "phrase": phrase,
+                "start": pa.array(start),
+                "n": pa.array(n),
+                "away": pa.array(away),
             }
         )
 
