@@ -86,6 +86,9 @@ def starts_of(
             return start, start, start
     row = np.searchsorted(first, start + moves[0], "right") - 1
     away = np.zeros(len(start), np.int64)
+    if not slop:
+        whole = (start >= first[row]) & (start + len(moves) <= first[row + 1])
+        return row[whole], start[whole], away[whole]
     for places, move in zip(lists[1:], moves[1:], strict=True):
         after = np.searchsorted(places, start + move)
         best = np.full(len(start), slop + 1)

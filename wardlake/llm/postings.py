@@ -43,7 +43,7 @@ def _block_index(block: int, doc_ids: pa.Array, data, offs) -> pa.RecordBatch:
     data = lowered(data)
     starts, ends, first = words(data, offs, IS_TERM)
     which, sample = distinct_spans(data, starts, ends)
-    order = np.argsort(which, kind="stable")
+    order = np.sort((which << 32) | np.arange(len(which))) & ((1 << 32) - 1)
     limits = np.concatenate(([0], np.cumsum(np.bincount(which, minlength=len(sample)))))
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))[order]
     new = np.ones(len(row), bool)

@@ -176,7 +176,16 @@ def distinct_spans(
     exactly if their bytes are equal. Keys only bring candidates together; spans of
     one key and other bytes get classes of their own."""
     keys = span_keys(data, starts, ends) if keys is None else keys
-    _, sample, which = np.unique(keys, return_index=True, return_inverse=True)
+    # The low bits of a key make room for the place, so that plain values are sorted.
+    mask = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = np.sort((keys & ~mask) | np.arange(len(keys), dtype=np.uint64))
+    place = (order & mask).astype(np.int64)
+    order &= ~mask
+    new = np.ones(len(keys), bool)
+    new[1:] = order[1:] != order[:-1]
+    sample = place[new]
+    which = np.empty(len(keys), np.int64)
+    which[place] = np.cumsum(new) - 1
     pair = sample[which]
     other = np.flatnonzero(pair != np.arange(len(starts)))
     same = same_bytes(
