@@ -87,3 +87,13 @@ def test_core_signals(spark, folder, write_gz):
     }
     labs = rows["MimicObservationLabevents.ndjson.gz"]
     assert (labs.subject_refs, labs.encounter_refs, labs.timestamp_fields) == (1, 1, 2)
+
+
+def test_many_shapes_fold_to_one_map(spark, folder, write_gz):
+    keys = [f"k{i}" for i in range(12)]
+    rows = [{k: 1 for j, k in enumerate(keys) if n >> j & 1} for n in range(1, 1 << 12)]
+    write_gz(f"{folder}/A.ndjson.gz", [*rows, {}])
+    lines = ndjson.scan_lines(spark, folder)
+    row = profiling.file_profiles(ndjson.scan_resources(lines)).first()
+    assert row["key_counts"] == dict.fromkeys(keys, 1 << 11)
+    assert row["top_level_keys"] == sorted(keys) and row["row_count"] == 1 << 12

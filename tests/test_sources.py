@@ -1,6 +1,7 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from wardlake.sources import bronze, ndjson, tables
@@ -208,3 +209,35 @@ def test_unicode_source_text(spark, folder):
     with gzip.open(f"{folder}/U.ndjson.gz", "wt", encoding="utf-8") as out:
         out.write('{"id":"ü"}\r\n')
     assert lines_of(spark, folder).first()["value"] == '{"id":"ü"}'
+
+
+def test_payload_digest_is_that_of_the_source_lines(spark, folder, write_gz):
+    import gzip
+
+    write_gz(f"{folder}/P.ndjson.gz", [{"resourceType": "Patient", "id": str(i)} for i in range(9)])
+    run_bronze(spark, folder)
+    with gzip.open(f"{folder}/P.ndjson.gz", "rt") as file:
+        lines = [(line.rstrip("\n"),) for line in file]
+    source = spark.createDataFrame(lines, "value string")
+    digest = bronze.payload_digest
+    expected = source.agg(digest(F.xxhash64("value"))).first()[0]
+    stored = bronze.read_bronze(spark, f"{folder}-out")
+    assert stored.agg(digest(F.xxhash64("raw_json"))).first()[0] == expected
+
+
+def test_interrupted_publication_is_undone(spark, folder):
+    from wardlake.sources.staging import exists, replacing, undo_unfinished
+
+    path = f"{folder}/t"
+    spark.range(3).write.parquet(f"{path}-previous")  # as if it had ended between
+    undo_unfinished(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    assert not exists(spark, f"{path}-previous")
+    with pytest.raises(ZeroDivisionError):
+        with replacing(spark, path) as ready:
+            spark.range(5).write.parquet(ready)
+            1 / 0
+    assert spark.read.parquet(path).count() == 3 and not exists(spark, ready)
+    with replacing(spark, path) as ready:
+        spark.range(5).write.parquet(ready)
+    assert spark.read.parquet(path).count() == 5

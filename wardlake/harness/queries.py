@@ -373,6 +373,8 @@ def _(k: Lake) -> DataFrame:
             if c == "source_file"
             else F.lit(0).cast("bigint").alias(c)
             if c == "expected_rows"
+            else F.lit(None).cast("string").alias(c)
+            if c == "payload_digest"
             else F.col(c)
             for c in manifest.columns
         ]

@@ -311,35 +311,62 @@ def medication_order_fulfillment(silver: Tables) -> DataFrame:
     )
 
 
-def observation_daily(silver: Tables, where: Column) -> DataFrame:
-    """Numeric measurements per patient, encounter, day, name and unit.
+#: Name under which a mapping of Silver tables may hold a written measurement fold.
+FOLD = "measurement_fold"
+_GRAIN = ["patient_id", "encounter_id", "measurement_name", "unit"]
 
-    Day distances depend on calendar dates alone, so measurements are folded
-    per date before the joins. The day counts from the encounter's start, or
-    from the patient's first date among these measurements; that date comes from
-    a second fold joined back, not from a window over a patient's rows.
-    """
+
+def _is_vital() -> Column:
+    return F.col("display").isin(*VITAL_DISPLAYS)
+
+
+def _is_lab() -> Column:
+    return F.col("category_code").isin(*LAB_CATEGORIES)
+
+
+def _per_date(observation: DataFrame, *kinds: Column) -> DataFrame:
+    """Numeric measurements folded per date, by kind where kinds are given."""
     measured = (
-        silver["observation"]
-        .filter(where & F.col("patient_id").isNotNull())
-        .select(
+        observation.select(
             "patient_id",
             "encounter_id",
             F.col("display").alias("measurement_name"),
             "unit",
             number_or_null(F.col("value")).alias("number"),
             wall_clock(F.col("effective_datetime")).cast("date").alias("event_date"),
+            *kinds,
         )
+        .filter(F.col("patient_id").isNotNull())
         .filter(F.col("number").isNotNull() & F.col("event_date").isNotNull())
     )
-    grain = ["patient_id", "encounter_id", "measurement_name", "unit"]
-    daily = measured.groupBy(*grain, "event_date").agg(
+    keys = [name for name in measured.columns if name != "number"]
+    return measured.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.min("number").alias("low"),
         F.sum("number").alias("total"),
         F.max("number").alias("high"),
     )
-    starts = silver["encounter"].select(
+
+
+def measurement_fold(observation: DataFrame) -> DataFrame:
+    """Vitals and labs folded per patient, encounter, name, unit and date, marked with
+    the kinds they belong to. Its counts, sums and limits can be merged further, so
+    that one scan of the measurements, once written, serves both daily tables."""
+    no = F.lit(False)
+    vital, lab = F.coalesce(_is_vital(), no), F.coalesce(_is_lab(), no)
+    return _per_date(
+        observation.filter(vital | lab), vital.alias("is_vital"), lab.alias("is_lab")
+    )
+
+
+def _daily_of(daily: DataFrame, encounter: DataFrame) -> DataFrame:
+    """Days of measurements that are folded per date.
+
+    Day distances depend on calendar dates alone. The day counts from the encounter's
+    start, or from the patient's first date among these measurements; that date comes
+    from a second fold joined back, not from a window over a patient's rows.
+    """
+    starts = encounter.select(
         "encounter_id",
         wall_clock(F.col("start_datetime")).cast("date").alias("start_date"),
     )
@@ -351,7 +378,7 @@ def observation_daily(silver: Tables, where: Column) -> DataFrame:
     )
     zero = F.coalesce("start_date", "first_date")
     day = F.datediff("event_date", zero).cast("bigint")
-    folded = placed.groupBy(*grain, day.alias("event_day_index")).agg(
+    folded = placed.groupBy(*_GRAIN, day.alias("event_day_index")).agg(
         F.sum("n").alias("measurement_count"),
         F.min("low").alias("min_value"),
         (F.sum("total") / F.sum("n")).alias("avg_value"),
@@ -370,14 +397,25 @@ def observation_daily(silver: Tables, where: Column) -> DataFrame:
     )
 
 
+def observation_daily(silver: Tables, where: Column) -> DataFrame:
+    """Numeric measurements per patient, encounter, day, name and unit."""
+    daily = _per_date(silver["observation"].filter(where))
+    return _daily_of(daily, silver["encounter"])
+
+
+def _kind_daily(silver: Tables, where: Column, mark: str) -> DataFrame:
+    if FOLD not in silver:
+        return observation_daily(silver, where)
+    kept = silver[FOLD].filter(mark).drop("is_vital", "is_lab")
+    return _daily_of(kept, silver["encounter"])
+
+
 def vitals_daily(silver: Tables) -> DataFrame:
-    rows = observation_daily(silver, F.col("display").isin(*VITAL_DISPLAYS))
-    return _finish(rows, "vitals_daily")
+    return _finish(_kind_daily(silver, _is_vital(), "is_vital"), "vitals_daily")
 
 
 def labs_daily(silver: Tables) -> DataFrame:
-    rows = observation_daily(silver, F.col("category_code").isin(*LAB_CATEGORIES))
-    return _finish(rows, "labs_daily")
+    return _finish(_kind_daily(silver, _is_lab(), "is_lab"), "labs_daily")
 
 
 _BUILDERS: Mapping[str, Callable[[Tables], DataFrame]] = {

@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardlake.functions.scalars import ascii_escaped
 from wardlake.plans.registry import BRONZE_COLUMNS, BRONZE_SCHEMA, BRONZE_TABLE
 from wardlake.sources.ndjson import (
-    fail_on_rejects,
+    fail_on_first,
+    file_starts,
     is_blank,
     is_resource,
+    located_rejects,
     resource_family,
     scan_lines,
-    scan_rejects,
     source_files,
 )
+from wardlake.sources.staging import exists, publish, remove, replacing
 
+#: Facts of a line that are landed beside it, besides those Bronze has.
+FACTS = (("shape", T.ArrayType(T.StringType())), ("present", T.IntegerType()))
 _ENVELOPE = "struct<resourceType:string,id:string,meta:struct<profile:array<string>>>"
 
 
@@ -51,14 +58,21 @@ def bronze_rows(
     """Bronze rows from lines that hold a resource (``source_file, value``), with
     the ``keep`` columns of the lines behind them."""
     value = F.col("value")
-    # One small parse for the envelope instead of one path lookup per column.
-    staged = resources.withColumn("head", F.from_json(value, _ENVELOPE))
-    return staged.select(
-        F.col("head.resourceType").alias("resource_type"),
-        F.col("head.id").alias("resource_id"),
+    named = ("resource_type", "resource_id", "profile_url")
+    if not set(named) <= set(resources.columns):
+        # One small parse for the envelope instead of one path lookup per column.
+        resources = resources.withColumn("head", F.from_json(value, _ENVELOPE)).select(
+            *resources.columns,
+            F.col("head.resourceType").alias("resource_type"),
+            F.col("head.id").alias("resource_id"),
+            F.get(F.col("head.meta.profile"), F.lit(0)).alias("profile_url"),
+        )
+    return resources.select(
+        "resource_type",
+        "resource_id",
         F.col("source_file"),
         resource_family(F.col("source_file")).alias("resource_family"),
-        F.get(F.col("head.meta.profile"), F.lit(0)).alias("profile_url"),
+        "profile_url",
         F.lit(dataset_name).alias("source_dataset_name"),
         F.lit(dataset_version).alias("source_dataset_version"),
         F.lit(ingested_at).alias("ingested_at"),
@@ -73,6 +87,106 @@ def source_bytes(spark: SparkSession, source_dir: str) -> int:
     return total.first()["total"] or 0
 
 
+def land(
+    spark: SparkSession,
+    source_dir: str,
+    path: str,
+    dataset_name: str,
+    dataset_version: str,
+    ingested_at: str,
+    max_records_per_file: int = 0,
+    canonical: bool = False,
+    facts: Callable[[DataFrame], DataFrame] | None = None,
+) -> BronzeWrite:
+    """Inflate the sources once: every line, judged, with its running id in the file.
+
+    The landing holds the Bronze rows by resource type below ``good=true`` and all
+    other lines, blank ones too, below ``good=false``. Inventory, schema profile,
+    rejects and Bronze come from it, so that no file is read twice. A line's hash is
+    taken where the line is read; what is stored can be held against it. ``facts`` adds
+    id, type, profile and further facts of each line, which are landed beside it.
+
+    A gzip file is one task, so the rows are rebalanced by type before the write: by
+    measured size, large types are split over several tasks and small ones share one,
+    whatever the cluster, and a task writes few files. Row and reject counts are
+    observed behind the exchange, in the stage that writes, where a task run again
+    after a lost executor is not counted twice.
+    """
+    value, good = F.col("value"), F.col("good")
+    judged = scan_lines(spark, source_dir).withColumn(
+        "good", ~is_blank(value) & is_resource(value)
+    )
+    if canonical:
+        text = F.when(good, canonical_json(value)).otherwise(value)
+        judged = judged.withColumn("value", text)
+    extra = ["line_id", "line_hash", "good"]
+    judged = judged.withColumn("line_hash", F.xxhash64("value"))
+    if facts:
+        judged = facts(judged)
+        extra += [name for name, _ in FACTS]
+    rows = bronze_rows(
+        judged, dataset_name, dataset_version, ingested_at, keep=tuple(extra)
+    ).hint("rebalance", "good", "resource_type")
+    counts = Observation("landing")
+    bad = ~good & ~is_blank(F.col("raw_json"))
+    counted = rows.observe(
+        counts, F.count_if(good).alias("good"), F.count_if(bad).alias("bad")
+    )
+    writer = counted.write.mode("overwrite").partitionBy("good", "resource_type")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.parquet(path)
+    seen = counts.get
+    return BronzeWrite(f"{path}/good=true", int(seen["good"]), int(seen["bad"]))
+
+
+def landed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """All lines of a landing: whether they are good, ``source_file, value, line_id``,
+    hash and facts (null where it was landed without)."""
+    schema = T.StructType(list(BRONZE_SCHEMA.fields))
+    schema = schema.add("line_id", "long").add("line_hash", "long").add("good", "boolean")
+    for name, kind in FACTS:
+        schema = schema.add(name, kind)
+    return spark.read.schema(schema).parquet(path).select(
+        "good",
+        "source_file",
+        F.col("raw_json").alias("value"),
+        "line_id",
+        "line_hash",
+        "resource_type",
+        "profile_url",
+        *[name for name, _ in FACTS],
+    )
+
+
+def landed_rejects(lines: DataFrame) -> DataFrame:
+    """The bad lines of a landing with their places; only these are parsed again."""
+    bad = lines.filter(~F.col("good") & ~is_blank(F.col("value")))
+    return located_rejects(bad, file_starts(lines))
+
+
+def settle_rejects(
+    lines: DataFrame, on_bad_line: str = "fail", rejects_path: str | None = None
+) -> None:
+    """Fail for the first bad line of a landing, or set the bad lines aside."""
+    if on_bad_line not in ("fail", "quarantine"):
+        raise ValueError(f"Unknown bad-line mode: {on_bad_line}")
+    rejects = landed_rejects(lines)
+    if on_bad_line == "fail":
+        fail_on_first(rejects)
+    elif rejects_path:
+        with replacing(lines.sparkSession, rejects_path) as ready:
+            rejects.write.parquet(ready)
+
+
+def publish_bronze(spark: SparkSession, landing: str, path: str) -> None:
+    """Put the good rows of a landing in the place of Bronze."""
+    if not exists(spark, f"{landing}/good=true"):
+        empty = spark.createDataFrame([], BRONZE_SCHEMA).drop("resource_type")
+        empty.write.parquet(f"{landing}/good=true")
+    publish(spark, f"{landing}/good=true", path)
+
+
 def write_bronze(
     spark: SparkSession,
     source_dir: str,
@@ -85,45 +199,32 @@ def write_bronze(
     on_bad_line: str = "fail",
     rejects_path: str | None = None,
 ) -> BronzeWrite:
-    """Scan the sources once and overwrite Bronze, split by resource type.
+    """Scan the sources once and replace Bronze, split by resource type.
 
-    A gzip file is one task, so the rows are rebalanced by type before the write:
-    by measured size, large types are split over several tasks and small ones share
-    one, whatever the cluster, and a task writes few files. Row and reject counts are observed during the write. A bad line fails the
-    run (its location is looked up only then), or goes to ``rejects_path`` when
+    The rows are written beside Bronze and take its place at the end. A bad line
+    fails the run and leaves the Bronze there was, or goes to ``rejects_path`` when
     ``on_bad_line`` is ``"quarantine"``.
     """
     if on_bad_line not in ("fail", "quarantine"):
         raise ValueError(f"Unknown bad-line mode: {on_bad_line}")
-    lines = scan_lines(spark, source_dir)
-    value = F.col("value")
-    filled = lines.filter(~is_blank(value)).withColumn("good", is_resource(value))
-    judged = bronze_rows(
-        filled, dataset_name, dataset_version, ingested_at, canonical, keep=("good",)
-    ).hint("rebalance", "resource_type")
-    # Counted behind the exchange, in the stage that writes, where a task run again
-    # after a lost executor is not counted twice.
-    counts = Observation("bronze_write")
-    rows = (
-        judged.observe(
-            counts,
-            F.count_if("good").alias("good"),
-            F.count_if(~F.col("good")).alias("bad"),
+    landing = f"{path}-landing-{uuid.uuid4().hex}"
+    try:
+        written = land(
+            spark,
+            source_dir,
+            landing,
+            dataset_name,
+            dataset_version,
+            ingested_at,
+            max_records_per_file,
+            canonical,
         )
-        .filter("good")
-        .drop("good")
-    )
-    writer = rows.write.mode("overwrite").partitionBy("resource_type")
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
-    seen = counts.get
-    if seen["bad"]:
-        if on_bad_line == "fail":
-            fail_on_rejects(lines)
-        if rejects_path:
-            scan_rejects(lines).write.mode("overwrite").parquet(rejects_path)
-    return BronzeWrite(path, int(seen["good"]), int(seen["bad"]))
+        if written.rejected_rows:
+            settle_rejects(landed_lines(spark, landing), on_bad_line, rejects_path)
+        publish_bronze(spark, landing, path)
+    finally:
+        remove(spark, landing)
+    return replace(written, path=path)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -157,9 +258,15 @@ def bronze_manifest(
         F.lit(part_files.count()).cast("bigint").alias("part_files"),
         "source_file",
         F.col("row_count").alias("expected_rows"),
+        *(["payload_digest"] if "payload_digest" in inventory.columns else []),
     )
 
 
+def payload_digest(hashes: Column) -> Column:
+    """Digest of a bag of payloads from their hashes: order and split do not matter."""
+    return F.sum(hashes.cast("decimal(38,0)")).cast("string")
+
+
 def bronze_file_counts(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("source_file").agg(F.count("*").alias("row_count"))
 
@@ -170,10 +277,16 @@ def bronze_comparison(
     """Expected and actual rows per source file, from both directions.
 
     A source file without rows cannot appear in Bronze, so it counts as different
-    unless the caller allows it.
+    unless the caller allows it. Where the manifest has the digest of the payloads as
+    they were read, those stored must have the same one.
     """
-    actual = bronze_file_counts(bronze).withColumnRenamed("row_count", "actual_rows")
-    both = manifest.select("source_file", "expected_rows", "total_rows").join(
+    digested = "payload_digest" in manifest.columns
+    actual = bronze.groupBy("source_file").agg(
+        F.count("*").alias("actual_rows"),
+        *([payload_digest(F.xxhash64("raw_json")).alias("_stored")] if digested else []),
+    )
+    expected = ["source_file", "expected_rows", "total_rows"]
+    both = manifest.select(*expected, *(["payload_digest"] if digested else [])).join(
         actual, "source_file", "full_outer"
     )
     if empty_files_fail:
@@ -182,7 +295,10 @@ def bronze_comparison(
         differs = F.coalesce("expected_rows", F.lit(0)) != F.coalesce(
             "actual_rows", F.lit(0)
         )
-    return both.withColumn("differs", differs)
+    if digested:
+        differs |= ~F.col("payload_digest").eqNullSafe(F.col("_stored"))
+    columns = [*expected, "actual_rows", "differs"]
+    return both.withColumn("differs", differs).select(*columns)
 
 
 def bronze_mismatches(
@@ -216,7 +332,13 @@ __all__ = [
     "bronze_rows",
     "canonical_json",
     "first_profile_url",
+    "land",
+    "landed_lines",
+    "landed_rejects",
+    "payload_digest",
+    "publish_bronze",
     "read_bronze",
+    "settle_rejects",
     "source_files",
     "write_bronze",
     "written_files",

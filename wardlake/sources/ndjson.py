@@ -148,14 +148,14 @@ def numbered_resources(
     )
 
 
-def scan_rejects(lines: DataFrame) -> DataFrame:
-    """Bad lines with file name, 1-based physical line number and reason."""
+def located_rejects(bad: DataFrame, starts: DataFrame) -> DataFrame:
+    """File name, 1-based physical line number and reason of bad lines
+    (``source_file, value, line_id``)."""
     value = F.col("value")
     reason = F.when(is_single_value(value), F.lit("not_an_object")).otherwise(
         F.lit("malformed_json")
     )
-    bad = lines.filter(~is_blank(value) & ~is_resource(value))
-    return with_starts(bad, file_starts(lines)).select(
+    return with_starts(bad, starts).select(
         "source_file",
         (F.col("line_id") - F.col("first_id") + 1).alias("line_number"),
         reason.alias("reason"),
@@ -163,9 +163,16 @@ def scan_rejects(lines: DataFrame) -> DataFrame:
     )
 
 
-def fail_on_rejects(lines: DataFrame) -> None:
-    """Raise for the first bad line, naming its file and line number."""
-    first = scan_rejects(lines).orderBy("source_file", "line_number").take(1)
+def scan_rejects(lines: DataFrame) -> DataFrame:
+    """Bad lines with file name, 1-based physical line number and reason."""
+    value = F.col("value")
+    bad = lines.filter(~is_blank(value) & ~is_resource(value))
+    return located_rejects(bad, file_starts(lines))
+
+
+def fail_on_first(rejects: DataFrame) -> None:
+    """Raise for the first reject, naming its file and line number."""
+    first = rejects.orderBy("source_file", "line_number").take(1)
     if first:
         row = first[0]
         what = (
@@ -176,3 +183,8 @@ def fail_on_rejects(lines: DataFrame) -> None:
         raise SourceReadError(
             f"{what} in {row['source_file']} at line {row['line_number']}"
         )
+
+
+def fail_on_rejects(lines: DataFrame) -> None:
+    """Raise for the first bad line, naming its file and line number."""
+    fail_on_first(scan_rejects(lines))

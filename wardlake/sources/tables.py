@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardlake.plans.registry import gold_table, silver_table
+from wardlake.sources.staging import replacing
 
 
 def table_name(catalog: str, schema: str, table: str) -> str:
@@ -39,13 +40,15 @@ def as_layout(df: DataFrame, schema: T.StructType) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, schema: T.StructType, max_records_per_file: int = 0
 ) -> int:
-    """Overwrite a Parquet table; the row count is observed during the write."""
+    """Replace a Parquet table; the row count is observed during the write. A write
+    that fails leaves the table as it was."""
     counts = Observation("table_write")
     counted = as_layout(df, schema).observe(counts, F.count(F.lit(1)).alias("n"))
-    writer = counted.write.mode("overwrite")
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
+    with replacing(df.sparkSession, path) as ready:
+        writer = counted.write
+        if max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", max_records_per_file)
+        writer.parquet(ready)
     return int(counts.get["n"])
 
 
