@@ -155,3 +155,34 @@ def test_odd_rows_and_empty_tables(docs, no_docs, labels, corpus):
         assert operator(docs, labels.limit(0)).count() == len(corpus)
         assert operator(no_docs, labels).count() == 0
     assert langid.identify(no_docs).count() == 0
+
+
+def test_an_id_that_repeats_gives_one_row(spark):
+    from pyspark.sql import functions as F
+
+    from wardlake.llm.learning import one_row_each
+
+    hot = spark.range(0, 50_000, 1, 4).select(
+        F.lit(7).cast("long").alias("doc_id"),
+        F.concat(F.lit("text "), (F.col("id") % 5).cast("string")).alias("text"),
+    )
+    rows = hot.union(spark.createDataFrame([(8, "other"), (9, "no label")], hot.schema))
+    ids = spark.createDataFrame([(7, 1), (8, 0), (10, 1)], "doc_id long, label int")
+    found = sorted(tuple(r) for r in one_row_each(rows, ids).collect())
+    assert [(r[0], r[2]) for r in found] == [(7, 1), (8, 0)]
+    assert found == sorted(tuple(r) for r in one_row_each(rows.repartition(3), ids).collect())
+
+
+def test_rates_are_undone_behind_the_temperature():
+    import numpy as np
+
+    from wardlake.llm import toxicity as module
+
+    rng = np.random.default_rng(5)
+    labels = np.array([i % 2 for i in range(600)], float)
+    texts = [np.array([2 + int(y) if rng.random() < 0.8 else 3 - int(y)], np.uint64) for y in labels]
+    aside = rng.random(600) < 0.3
+    plain = module.fit(texts, labels, aside, {0: 1.0, 1: 1.0})
+    rare = module.fit(texts, labels, aside, {0: 0.01, 1: 1.0})
+    assert plain["temperature"] == rare["temperature"]
+    assert abs(rare["shift"] - np.log(0.01)) < 1e-9 and plain["shift"] == 0

@@ -44,6 +44,29 @@ def test_ids_survive_forgetting_and_merging(tokenizer, monkeypatch, corpus):
     assert found == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def parity_words(n):
+    """Two words of n letters whose polynomials modulo 2**64 agree for any odd base."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_of_one_key_get_their_own_ids(tokenizer, monkeypatch):
+    texts = [*parity_words(1024), *parity_words(2048), "one two three one", "two"]
+    for same_key in (False, True):
+        if same_key:
+            monkeypatch.setattr(
+                packing, "span_keys", lambda d, s, e: np.zeros(len(s), np.uint64)
+            )
+        known = packing.WordIds(PATH)
+        for _ in range(2):
+            found = []
+            for low, high, data, offs in blocks(pa.array(texts)):
+                ids, first = known.encode(data, offs)
+                found += [ids[first[i] : first[i + 1]].tolist() for i in range(high - low)]
+            expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+            assert found == expected
+
+
 def check(rows, texts, tokenizer, capacity):
     """Pieces hold every id once and sequences have no gap and no overflow."""
     sequences, pieces = defaultdict(list), defaultdict(list)

@@ -67,3 +67,14 @@ def sampled(rows: DataFrame, by: str, most: int) -> tuple[DataFrame, dict]:
         rate = F.when(F.col(by) == value, share).otherwise(rate)
     draw = unit(F.lit("sample"), "doc_id")
     return rows.filter(draw < rate).orderBy(draw, "doc_id").limit(most), rates
+
+
+def one_row_each(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text) with the columns of ``ids``, one row for each id: of
+    texts that share an id the one with the smallest hash. ``ids`` comes from
+    ``sampled``, so it has a bounded number of rows and may be broadcast, and so has
+    the result, however often an id is repeated."""
+    found = rows.join(F.broadcast(ids), "doc_id").withColumn("_hash", F.xxhash64("text"))
+    least = found.groupBy("doc_id").agg(F.min("_hash").alias("_hash"))
+    chosen = found.join(F.broadcast(least), ["doc_id", "_hash"])
+    return chosen.dropDuplicates(["doc_id"]).drop("_hash")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.llm.shared import in_workers, stored, text_of
-from wardlake.llm.text import blocks, word_hashes
+from wardlake.llm.text import blocks, distinct_spans, same_bytes, span_keys
 
 CAPACITY = 4096
 END_ID = 2
@@ -58,7 +58,8 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class WordIds:
-    """Token ids of words, remembered by the word's hash.
+    """Token ids of words, remembered by a key of the word, and used for words of the
+    same bytes only.
 
     The tokenizer never joins text across the white space of ``CUTS``, so a text's
     ids are the ids of its words, and a word is tokenized once per worker for as long
@@ -76,6 +77,8 @@ class WordIds:
         self.late_word = np.zeros(0, np.int64)
         self.limits = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.text = np.zeros(0, np.uint8)  # the words' bytes, and where each ends
+        self.text_limits = np.zeros(1, np.int64)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each word, -1 where it is new."""
@@ -87,7 +90,24 @@ class WordIds:
                 out[hit] = word[at[hit]]
         return out
 
-    def _add(self, hashes: np.ndarray, found: list[str]) -> None:
+    def _known(
+        self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> np.ndarray:
+        """Number of each word, -1 where no word of its bytes is remembered."""
+        word = self._find(keys)
+        at = np.flatnonzero(word >= 0)
+        low, high = self.text_limits[word[at]], self.text_limits[word[at] + 1]
+        same = same_bytes(data, starts[at], ends[at], self.text, low, high)
+        word[at[~same]] = -1
+        return word
+
+    def _add(self, hashes: np.ndarray, texts: list[bytes]) -> None:
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.text_limits = np.concatenate(
+            [self.text_limits, len(self.text) + np.cumsum(size)]
+        )
+        self.text = np.concatenate([self.text, np.frombuffer(b"".join(texts), np.uint8)])
+        found = [text.decode("utf-8", "replace") for text in texts]
         encoded = self.tokenizer.encode_batch_fast(found, add_special_tokens=False)
         ids = [one.ids for one in encoded]
         count = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -118,20 +138,18 @@ class WordIds:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offs), np.int64)
         first = np.searchsorted(starts, offs)
-        hashes = word_hashes(data, starts, ends)
-        distinct, sample, which = np.unique(
-            hashes, return_index=True, return_inverse=True
-        )
+        keys = span_keys(data, starts, ends)
+        which, sample = distinct_spans(data, starts, ends, keys)
+        distinct = keys[sample]
         if len(self.limits) > KEPT_WORDS:
             self.forget()
-        word = self._find(distinct)
+        word = self._known(distinct, data, starts[sample], ends[sample])
         new = np.flatnonzero(word < 0)
         if len(new):
             text = data.tobytes()
             at = sample[new]
             spans = zip(starts[at].tolist(), ends[at].tolist(), strict=True)
-            found = [text[a:b].decode("utf-8", "replace") for a, b in spans]
-            self._add(distinct[new], found)
+            self._add(distinct[new], [text[a:b] for a, b in spans])
             word[new] = np.arange(len(self.limits) - 1 - len(new), len(self.limits) - 1)
         begin = self.limits[word]
         count = self.limits[word + 1] - begin

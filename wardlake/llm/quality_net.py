@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlake.llm.learning import sampled, temperature
+from wardlake.llm.learning import one_row_each, sampled, temperature
 from wardlake.llm.shared import holdout, in_workers, text_of, unit
 from wardlake.llm.text import IS_WHITE, blocks, mixed, word_hashes
 
@@ -227,7 +227,8 @@ def fit(inputs: np.ndarray, labels: np.ndarray, aside: np.ndarray, rates: dict)
     shift = 0.0
     if {0, 1} <= set(rates):
         shift = float(np.log(rates[0] / rates[1]))
-    margin = network.margins(inputs[aside]) + shift
+    # Fitted on rows of the sample, so the shift comes behind the temperature.
+    margin = network.margins(inputs[aside])
     both = np.stack([np.zeros(len(margin)), margin], axis=1)
     return {
         "network": network,
@@ -248,8 +249,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
         .filter(~holdout(F.col("doc_id"), PARTS, HELD_OUT))
     )
     ids, rates = sampled(known, "label", MAX_TRAINING_ROWS)
-    chosen = text_of(docs).join(F.broadcast(ids), "doc_id")
-    chosen = chosen.select(
+    chosen = one_row_each(text_of(docs), ids).select(
         "text", "label", (unit(F.lit("aside"), "doc_id") < 0.2).alias("aside")
     )
     found = in_workers(chosen).mapInArrow(
@@ -272,8 +272,8 @@ def _score_batches(shared):
             found = []
             for _, _, data, offs in blocks(batch.column("text")):
                 rows = pooled(data, offs, model["context"])
-                margin = model["network"].margins(rows) + model["shift"]
-                margin = np.clip(margin / model["temperature"], -60, 60)
+                margin = model["network"].margins(rows) / model["temperature"]
+                margin = np.clip(margin + model["shift"], -60, 60)
                 found.append(1 / (1 + np.exp(-margin)))
             score = np.concatenate(found) if found else np.zeros(0)
             yield pa.record_batch(

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlake.llm.learning import Ftrl, sampled, temperature
+from wardlake.llm.learning import Ftrl, one_row_each, sampled, temperature
 from wardlake.llm.shared import holdout, in_workers, text_of, unit
 from wardlake.llm.text import blocks, lowered, word_hashes
 
@@ -154,9 +154,9 @@ def fit(
                 w = model.weights(at)
                 model.step(at, w, 2 * penalty * (w * step).sum() * step)
     w = model.weights()[:, 0]
-    bias = float(w[-1])
+    shift = 0.0
     if rates and {0, 1} <= set(rates):
-        bias += float(np.log(rates[0] / rates[1]))
+        shift = float(np.log(rates[0] / rates[1]))
     kept = np.flatnonzero(aside)
     margin = np.array([w[rows[i]].sum() for i in kept])
     both = np.stack([np.zeros(len(kept)), margin], axis=1)
@@ -164,7 +164,10 @@ def fit(
     return {
         "words": vocabulary[some],
         "weights": w[:-1][some],
-        "bias": bias,
+        "bias": float(w[-1]),
+        # What undoes the sample's rates: the temperature is fitted without it, on
+        # rows of the sample, so it comes behind the temperature.
+        "shift": shift,
         "temperature": temperature(both, labels[kept].astype(np.int64)),
     }
 
@@ -179,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     rows = text_of(docs).filter(~holdout(F.col("doc_id"), PARTS, HELD_OUT))
     ids, rates = sampled(known.filter(~holdout(F.col("doc_id"), PARTS, HELD_OUT)),
                          "label", MAX_TRAINING_ROWS)
-    chosen = rows.join(F.broadcast(ids), "doc_id").select(
+    chosen = one_row_each(rows, ids).select(
         "text", "label", (unit(F.lit("aside"), "doc_id") < 0.2).alias("aside")
     )
     found = in_workers(chosen).mapInArrow(
@@ -203,7 +206,8 @@ def chances(data: np.ndarray, offs: np.ndarray, model: dict) -> np.ndarray:
         at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
         weight[1:] = np.cumsum(np.where(keys[at] == hashes, model["weights"][at], 0.0))
     margin = weight[first[1:]] - weight[first[:-1]] + model["bias"]
-    return 1 / (1 + np.exp(-np.clip(margin / model["temperature"], -60, 60)))
+    margin = margin / model["temperature"] + model["shift"]
+    return 1 / (1 + np.exp(-np.clip(margin, -60, 60)))
 
 
 def _score_batches(shared):
