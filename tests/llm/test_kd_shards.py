@@ -1,6 +1,8 @@
 import zlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from wardlake.llm.kd_shards import kd_shards, sharded_documents
 
 
@@ -63,5 +65,26 @@ def test_all_rows_are_carried_over(spark):
     assert sorted(map(tuple, found), key=str) == sorted(rows, key=str)
 
 
+def test_repeated_rows_without_an_id_are_spread(spark):
+    rows = [(i, "x" * (i * 31 % 300), "en", f"s{i % 5}") for i in range(2000)]
+    rows += [(None, "one text for all of these rows " * 3, "en", "s0")] * 1000
+    frame = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string"
+    ).repartition(5)
+    found = kd_shards(frame).collect()
+    load, slots = defaultdict(int), defaultdict(list)
+    for r in found:
+        load[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(load.values()) / 16
+    assert sorted(load) == list(range(16)) and len(found) == 3000
+    assert max(load.values()) < 1.02 * mean and min(load.values()) > 0.98 * mean
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    spread = sharded_documents(frame, sum(load.values()) // 16)
+    sizes = [r["n"] for r in spread.groupBy("shard").agg(
+        F.sum(F.octet_length("text") + 1).alias("n")).collect()]
+    assert max(sizes) < 1.3 * sum(sizes) / len(sizes) and spread.count() == 3000
+
+
 def test_empty_table(no_docs):
     assert kd_shards(no_docs).count() == 0

@@ -27,7 +27,7 @@ def test_stages_chain_and_empty_tables_pass_through(spark, docs, no_docs):
         assert now.columns == docs.columns and now.count() > 0
         assert empty.columns == docs.columns and empty.count() == 0
     last = corpus_pipeline.STAGES[-1][1](spark, now, "")
-    assert last.columns == packed(docs).columns
+    assert last.columns == packed(docs, with_ids=True).columns
     assert {r[0] for r in last.select("doc_id").collect()} <= {
         r[0] for r in docs.select("doc_id").collect()
     }

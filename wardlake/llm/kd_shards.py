@@ -25,7 +25,8 @@ TIE_BITS = 31
 
 
 def metadata(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and one number per dimension."""
+    """doc_id, size, text_crc32, one number per dimension, and the row's place in the
+    table as it is read (``at``), which tells repeated rows apart once it is stored."""
     text = F.coalesce("text", F.lit(""))
 
     def name_number(name: str) -> Column:
@@ -40,6 +41,7 @@ def metadata(docs: DataFrame) -> DataFrame:
         name_number("source").alias("x1"),
         F.log2(F.octet_length(text) + 1.0).alias("x2"),
         doc_id.alias("x3"),
+        F.monotonically_increasing_id().alias("at"),
     )
 
 
@@ -50,7 +52,7 @@ def points(meta: DataFrame) -> DataFrame:
     """``keys``: per dimension the coordinate scaled to 31 bits, above a hash."""
     ends = [f(d).alias(f"{d}_{f.__name__}") for d in DIMENSIONS for f in (F.min, F.max)]
     limits = meta.agg(*ends).first()
-    tie = F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(1 << TIE_BITS))
+    tie = F.pmod(F.xxhash64("doc_id", "text_crc32", "size", "at"), F.lit(1 << TIE_BITS))
 
     def key(d: str) -> Column:
         least = limits[f"{d}_min"] or 0.0
@@ -62,6 +64,7 @@ def points(meta: DataFrame) -> DataFrame:
         "doc_id",
         "size",
         "text_crc32",
+        "at",
         F.array(*[key(d) for d in DIMENSIONS]).alias("keys"),
         F.lit(0).alias("low"),
     )
@@ -200,18 +203,18 @@ def with_slots(rows: DataFrame, shards: int) -> DataFrame:
     n = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     runs = max(1, -(-n // (shards * SLOT_ROWS)))
     rows = rows.withColumn(
-        "run", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(runs))
+        "run", F.pmod(F.xxhash64("doc_id", "text_crc32", "at"), F.lit(runs))
     )
     counts = rows.groupBy("shard", "run").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("shard").orderBy("run")
     begins = counts.select(
         "shard", "run", (F.sum("n").over(upto) - F.col("n")).alias("begin")
     )
-    place = Window.partitionBy("shard", "run").orderBy("doc_id", "text_crc32", "size")
+    place = Window.partitionBy("shard", "run").orderBy("doc_id", "text_crc32", "at")
     return (
         rows.join(begins, ["shard", "run"])
         .withColumn("slot", F.col("begin") + F.row_number().over(place) - 1)
-        .drop("run", "begin")
+        .drop("run", "begin", "at")
     )
 
 
@@ -220,42 +223,53 @@ def kd_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     Shards have near-equal bytes (size: bytes of the text plus 1). A null text is
     empty; a null language, source or id is a coordinate of its own below all
-    others. Rows with the same id and text have the same place in the tree and share
-    a shard. Only ``doc_id``, ``text``, ``lang`` and ``source`` are read; an empty
+    others. Rows with the same id and text are dealt out like any others: their places
+    in the table as read tell them apart. Only ``doc_id``, ``text``, ``lang`` and ``source`` are read; an empty
     table gives an empty result.
     """
     meta = stored(metadata(docs), "metadata")
     rows = _shards_of(points(meta), shards).select(
-        "doc_id", "size", "text_crc32", F.col("low").alias("shard")
+        "doc_id", "size", "text_crc32", "at", F.col("low").alias("shard")
     )
     return with_slots(stored(rows, "sharded"), shards)
 
 
 def sharded_documents(docs: DataFrame, target_bytes: int = 256 << 20) -> DataFrame:
     """``docs`` with ``shard``, in as many shards as leave ``target_bytes`` in each;
-    rows of a shard lie together. Rows with the same id and text share a shard."""
-    size = F.octet_length(F.coalesce("text", F.lit(""))) + 1
-    total = docs.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
+    rows of a shard lie together. Rows with the same id and text are dealt over the
+    shards that the tree gives them, in proportion to the rows it gives each. A column
+    of ``docs`` named ``shard`` is replaced; other names are kept, whatever they are.
+    """
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    crc, size = F.crc32(text.cast("binary")), F.octet_length(text) + 1
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    total = rows.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
     shards = max(1, -(-total // target_bytes))
+    key = ["doc_id", "text_crc32", "size"]
+    upto = Window.partitionBy(*key).orderBy("shard")
     found = (
         kd_shards(docs, shards)
-        .groupBy(
-            F.col("doc_id").alias("__id"),
-            F.col("text_crc32").alias("__crc"),
-            F.col("size").alias("__size"),
+        .groupBy(*key, "shard")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.sum("n").over(upto))
+        .groupBy(*key)
+        .agg(
+            F.sort_array(F.collect_list(F.struct("upto", "shard"))).alias("places"),
+            F.max("upto").alias("n"),
         )
-        .agg(F.min("shard").alias("__shard"))
     )
-    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("__id"))
-        & (crc == F.col("__crc"))
-        & (size == F.col("__size"))
+        F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
+        & (crc == F.col("text_crc32"))
+        & (size == F.col("size"))
     )
+    draw = F.pmod(F.xxhash64("at"), F.col("n"))
+    place = F.get(F.filter("places", lambda one: one["upto"] > draw), F.lit(0))
+    kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != "shard"]
     return (
-        docs.join(found, same)
-        .withColumn("shard", F.col("__shard"))
-        .drop("__id", "__crc", "__size", "__shard")
+        rows.withColumn("at", F.monotonically_increasing_id())
+        .join(found, same)
+        .select(*kept, place["shard"].alias("shard"))
         .repartition("shard")
         .sortWithinPartitions("shard", "doc_id")
     )
