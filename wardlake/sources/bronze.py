@@ -54,15 +54,18 @@ def bronze_rows(
     ingested_at: str,
     canonical: bool = False,
     keep: tuple[str, ...] = (),
+    parsed: bool = False,
 ) -> DataFrame:
     """Bronze rows from lines that hold a resource (``source_file, value``), with
-    the ``keep`` columns of the lines behind them."""
+    the ``keep`` columns of the lines behind them. Lines that are ``parsed`` bring
+    their type, id and first profile along."""
     value = F.col("value")
-    named = ("resource_type", "resource_id", "profile_url")
-    if not set(named) <= set(resources.columns):
+    if not parsed:
         # One small parse for the envelope instead of one path lookup per column.
         resources = resources.withColumn("head", F.from_json(value, _ENVELOPE)).select(
-            *resources.columns,
+            "source_file",
+            "value",
+            *keep,
             F.col("head.resourceType").alias("resource_type"),
             F.col("head.id").alias("resource_id"),
             F.get(F.col("head.meta.profile"), F.lit(0)).alias("profile_url"),
@@ -125,7 +128,12 @@ def land(
         judged = facts(judged)
         extra += [name for name, _ in FACTS]
     rows = bronze_rows(
-        judged, dataset_name, dataset_version, ingested_at, keep=tuple(extra)
+        judged,
+        dataset_name,
+        dataset_version,
+        ingested_at,
+        keep=tuple(extra),
+        parsed=facts is not None,
     ).hint("rebalance", "good", "resource_type")
     counts = Observation("landing")
     bad = ~good & ~is_blank(F.col("raw_json"))
