@@ -2,6 +2,9 @@ import hashlib
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
+from wardlake.llm import exact_dedup
 from wardlake.llm.exact_dedup import directory, exact_duplicates, without_duplicates
 from wardlake.llm.shared import stored
 
@@ -50,3 +53,46 @@ def test_directory_splits_overfull_buckets(spark):
     assert sum(load.values()) == 3000
     assert max(load.values()) <= 100
     assert len({depth for depth, _ in load}) > 1
+
+
+def test_chains_of_equal_keys_are_told_apart(docs, monkeypatch):
+    """With keys of 3 bits nearly all texts share a key, and the rows stay the same."""
+    built = []
+    build = exact_dedup.build_index
+    monkeypatch.setattr(
+        exact_dedup, "build_index", lambda *a: built.append(build(*a)) or built[-1]
+    )
+    short = [tuple(r) for r in exact_duplicates(docs, key_bits=3).collect()]
+    assert sorted(short, key=str) == sorted(map(tuple, exact_duplicates(docs).collect()), key=str)
+    chains = built[0].groupBy("key").agg(
+        F.max("chained").alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    rows = chains.collect()
+    assert len(rows) <= 8 and max(r["last"] for r in rows) > 8
+    assert all(r["last"] == r["n"] - 1 for r in rows)
+
+
+def test_documents_are_looked_up_in_the_bucket_of_their_key(docs, monkeypatch):
+    """Half of the directory finds the documents of half of the keys."""
+    whole = exact_dedup.directory
+    monkeypatch.setattr(
+        exact_dedup, "directory", lambda entries: whole(entries).filter("slot >= 1 << 15")
+    )
+    expected = {r[0] for r in docs.select(exact_dedup.normalised().alias("plain")).filter(
+        F.xxhash64("plain") < 0
+    ).select(F.sha2("plain", 256)).collect()}
+    found = {r["text_sha256"] for r in exact_duplicates(docs).collect()}
+    assert found == expected and found
+
+
+def test_many_rows_of_one_text_without_an_id(spark):
+    rows = spark.sql(
+        "SELECT if(id % 3 = 0, NULL, id) AS doc_id, "
+        "if(id % 3 = 0, 'the same', concat('text ', id)) AS text, 1 AS digest, 2 AS row, "
+        "3 AS keep_id FROM range(6000)"
+    )
+    found = exact_duplicates(rows)
+    assert found.count() == 6000
+    assert found.filter("kept").count() == 4001
+    kept = without_duplicates(rows)
+    assert kept.columns == rows.columns and kept.count() == 4001

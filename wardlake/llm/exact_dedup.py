@@ -2,10 +2,12 @@
 
 Keys are 64-bit hashes of the normalised texts. A directory maps the leading bits
 of a key to a bucket: where a bucket holds too many distinct keys, the directory
-doubles and the bucket splits on its next bit. Equal keys are chained by content:
-texts are grouped by their bytes, so two texts that share a hash stay apart. Copies
-are folded before the exchange, so a text that makes up a third of all rows reaches
-its owner as one row per task.
+doubles and the bucket splits on its next bit. The index is built bucket by bucket:
+texts of one bucket and key are told apart by their bytes and chained, so two texts
+that share a hash stay apart. Every document is then looked up in the bucket that owns
+its key, and finds its chain place there by a SHA-256 digest of its text. Copies are
+folded before the exchange, so a text that makes up a third of all rows reaches its
+owner as one row per task.
 """
 
 from __future__ import annotations
@@ -20,15 +22,20 @@ BUCKET_KEYS = 1024
 #: Leading bits the directory can use; it has 2**16 entries at most, so it may be
 #: broadcast. Buckets of larger indexes hold as many more keys.
 MAX_DEPTH = 16
+#: Bits of a key.
+KEY_BITS = 64
+#: What leads to a text: its bucket, its key and, along the chain, its digest.
+ADDRESS = ["depth", "bucket", "key", "digest"]
 
 
 def normalised(text="text"):
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), WHITE, " ")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, key_bits: int = KEY_BITS) -> DataFrame:
     plain = docs.select("doc_id", normalised().alias("plain"))
-    return plain.withColumn("key", F.xxhash64("plain"))
+    leading = F.lit(-1 << (KEY_BITS - key_bits)).cast("long")
+    return plain.withColumn("key", F.xxhash64("plain").bitwiseAND(leading))
 
 
 def _slot(key: str = "key"):
@@ -58,70 +65,76 @@ def directory(entries: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     )
 
 
-def build_index(docs: DataFrame, entries: DataFrame) -> DataFrame:
+def owned(keyed: DataFrame, owners: DataFrame) -> DataFrame:
+    """``keyed`` with the bucket of each key. The directory has 2**MAX_DEPTH rows at
+    most, which is what lets it be broadcast."""
+    placed = keyed.withColumn("slot", _slot())
+    return placed.join(F.broadcast(owners), "slot").drop("slot")
+
+
+def build_index(
+    docs: DataFrame, entries: DataFrame, owners: DataFrame, key_bits: int = KEY_BITS
+) -> DataFrame:
     """The index: one row per distinct text with its bucket, the chain place among
-    texts of equal key, its digest, smallest id and number of rows."""
-    owners = F.broadcast(stored(directory(entries), "directory"))
-    texts = _keyed(docs).groupBy("key", "plain").agg(
-        F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    texts of equal key, its digest, smallest id, number of rows, and ``head``, the
+    place of the row that stays."""
+    texts = (
+        owned(_keyed(docs, key_bits), owners)
+        .groupBy("depth", "bucket", "key", "plain")
+        .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        .withColumn("digest", F.unhex(F.sha2("plain", 256)))
     )
-    chain = Window.partitionBy("key").orderBy("digest")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "place"))
+    heads = owned(entries, owners).groupBy(*ADDRESS).agg(least["place"].alias("head"))
+    chain = Window.partitionBy("depth", "bucket", "key").orderBy("digest")
     index = (
-        texts.withColumn("digest", F.unhex(F.sha2("plain", 256)))
-        .select("key", "digest", "keep_id", "group_size", _slot().alias("slot"))
-        .join(owners, "slot")
-        .withColumn("chained", F.row_number().over(chain) - 1)
-        .drop("slot")
+        texts.select(*ADDRESS, "keep_id", "group_size")
+        .join(heads, ADDRESS)
         .repartition("depth", "bucket")
-        .sortWithinPartitions("depth", "bucket", "key")
+        .withColumn("chained", F.row_number().over(chain) - 1)
+        .sortWithinPartitions(*ADDRESS)
     )
     return stored(index, "index")
 
 
-def exact_duplicates(docs: DataFrame) -> DataFrame:
+def exact_duplicates(docs: DataFrame, key_bits: int = KEY_BITS) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after each run of white space becomes one space;
     a null text is empty. The row with the smallest id of a group stays. Ids that
     are null are larger than all others; a group without any id keeps one of its
     rows. Of repeated rows (same id, same text) one stays. Only ``doc_id`` and
-    ``text`` are read. An empty table gives an empty result.
+    ``text`` are read. An empty table gives an empty result. Shorter keys make longer
+    chains and the same result.
     """
     entries = stored(
-        _keyed(docs).select(
-            "doc_id", "key", F.unhex(F.sha2("plain", 256)).alias("digest")
+        _keyed(docs, key_bits).select(
+            "doc_id",
+            "key",
+            F.unhex(F.sha2("plain", 256)).alias("digest"),
+            F.monotonically_increasing_id().alias("place"),
         ),
         "entries",
     )
-    index = build_index(docs, entries)
-    twin = Window.partitionBy("digest", "doc_id").orderBy("key")
-    rows = entries.withColumn("twin", F.row_number().over(twin))
-    found = rows.join(
-        index.select("key", "digest", "keep_id", "group_size"), ["key", "digest"]
-    )
+    owners = stored(directory(entries), "directory")
+    index = build_index(docs, entries, owners, key_bits)
+    found = owned(entries, owners).join(index.drop("chained"), ADDRESS)
     return found.select(
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("twin") == 1)).alias(
-            "kept"
-        ),
+        (F.col("place") == F.col("head")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they are (see above)."""
-    kept = exact_duplicates(docs).filter("kept")
-    kept = kept.select(
-        F.col("keep_id").alias("__keep"), F.col("text_sha256").alias("__kept_digest")
+    kept = exact_duplicates(docs).filter("kept").select("keep_id", "text_sha256")
+    rows = docs.select(
+        F.sha2(normalised(), 256).alias("digest"), "doc_id", F.struct(*docs.columns).alias("row")
     )
-    rows = docs.withColumn("__digest", F.sha2(normalised(), 256))
-    same = (F.col("__digest") == F.col("__kept_digest")) & F.col("doc_id").eqNullSafe(
-        F.col("__keep")
-    )
-    return (
-        rows.join(kept, same)
-        .dropDuplicates(["doc_id", "__digest"])
-        .select(*docs.columns)
+    same = (F.col("digest") == F.col("text_sha256")) & F.col("doc_id").eqNullSafe(
+        F.col("keep_id")
     )
+    return rows.join(kept, same).dropDuplicates(["digest", "doc_id"]).select("row.*")
