@@ -1,5 +1,9 @@
 """Relationship audit, privacy audit, quality gate and marts."""
 
+import random
+import re
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,6 +151,54 @@ def test_pattern_findings(silver_of):
     assert privacy.findings_where_counted(silver_of(), clean) is None
 
 
+def test_samples_in_the_order_rows_are_stored(spark, silver_of, folder):
+    """Against a reader that goes through the stored rows one by one."""
+    rng = random.Random(5)
+    numbers = [f"{rng.randrange(1000):03d}-12-{rng.randrange(40):04d}" for _ in range(3000)]
+    # A third of the rows repeat one match, and a row may hold several.
+    values = [
+        "900-12-3456" if i % 3 == 0 and i > 4 else f"{n} and {numbers[i - 1]}, {n}"
+        for i, n in enumerate(numbers)
+    ]
+    tables = silver_of(
+        observation=[{"value": v, "display": "x@y.org" if i == 7 else None} for i, v in enumerate(values)]
+    )
+    path = f"{folder}/observation"
+    tables["observation"].repartition(3).sortWithinPartitions("value").write.parquet(path)
+    stored = spark.read.parquet(path)
+    tables["observation"] = stored
+    files = sorted(stored.inputFiles())
+    expected = []
+    for file in files:
+        for value in pq.read_table(file.removeprefix("file://"), columns=["value"])["value"].to_pylist():
+            for match in sorted(set(re.findall(r"\b\d{3}-\d{2}-\d{4}\b", value))):
+                if match not in expected:
+                    expected.append(match)
+    assert len(files) == 3 and len(expected) > 1000
+    for size in (1, 5, 300):
+        rows = privacy.pattern_findings(tables, size, order="stored").collect()
+        found = {(r.column_name, r.pattern_name): r.sample_matches for r in rows}
+        assert found == {("value", "ssn"): expected[:size], ("display", "email"): ["x@y.org"]}
+    counts = privacy.pattern_counts(tables)
+    again = privacy.findings_where_counted(tables, counts, 300, order="stored").collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+
+
+def test_samples_of_rows_that_are_not_stored_come_in_their_order(silver_of):
+    values = ["300-12-3456 200-12-3456", None, "100-12-3456", "200-12-3456"]
+    tables = silver_of(observation=[{"value": v} for v in values])
+    row = privacy.pattern_findings(tables, 2, order="stored").first()
+    assert row.sample_matches == ["200-12-3456", "300-12-3456"]
+    assert privacy.encountered_samples(silver_of()).count() == 0
+
+
+def test_samples_in_the_order_of_a_column(silver_of):
+    rows = [("b", "300-12-3456"), ("c", "100-12-3456 300-12-3456"), ("a", "500-12-3456"), ("d", None)]
+    tables = silver_of(observation=[{"observation_id": i, "value": v} for i, v in rows])
+    row = privacy.pattern_findings(tables, 3, order=["observation_id"]).first()
+    assert row.sample_matches == ["500-12-3456", "300-12-3456", "100-12-3456"]
+
+
 def test_column_findings(spark, linked):
     some = {"patient": linked["patient"].drop("race"), "encounter": linked["encounter"]}
     rows = {

@@ -24,6 +24,7 @@ SAMPLE = (
     "slv_7_medication_request",
     "rel_3_orphans",
     "prv_5_column_scan",
+    "prv_5_encounter_order",
     "gld_1_encounter_summary",
     "gld_3_vitals_daily",
     "gld_7_medication_order_fulfillment",

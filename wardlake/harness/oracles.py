@@ -813,6 +813,30 @@ expect(
         for name in EXPECTED_PATTERNS
     ),
 )
+
+
+def cell_first_samples(table: str, column: str, name: str) -> str:
+    found = matches(column, EXPECTED_PATTERNS[name])
+    return f"""SELECT '{table}' AS table_name, '{column}' AS column_name,
+  '{name}' AS pattern_name, any_value(n) AS match_count,
+  array_to_string(list(match ORDER BY f, r, match)[1:5], ' | ') AS sample_matches
+FROM (SELECT match, any_value(n) AS n, min(f) AS f, arg_min(r, (f, r)) AS r
+  FROM (SELECT unnest(found) AS match, n, f, r
+    FROM (SELECT *, count(*) OVER () AS n FROM (
+      SELECT {found} AS found, source_file AS f, bronze_resource_id AS r FROM s_{table}
+      WHERE {column} IS NOT NULL) WHERE len(found) > 0))
+  GROUP BY match) HAVING count(*) > 0"""
+
+
+expect(
+    "prv_5_encounter_order",
+    union(
+        cell_first_samples(table, column, name)
+        for table, columns in EXPECTED_SCOPE.items()
+        for column in columns
+        for name in EXPECTED_PATTERNS
+    ),
+)
 VERDICT = f"""SELECT count(*) FILTER (WHERE match_count > 0) AS finding_count,
   CASE WHEN count(*) FILTER (WHERE match_count > 0) = 0 THEN 'passed'
        ELSE 'needs_review' END AS status FROM ({CELLS})"""

@@ -790,6 +790,14 @@ def _(k: Lake) -> DataFrame:
     return found.withColumn("sample_matches", F.array_join("sample_matches", " | "))
 
 
+@on_lake("prv_5_encounter_order")
+def _(k: Lake) -> DataFrame:
+    """Samples in order of the resources they stand in."""
+    by = ["source_file", "bronze_resource_id"]
+    found = privacy.pattern_findings(k.silver_tables(), order=by)
+    return found.withColumn("sample_matches", F.array_join("sample_matches", " | "))
+
+
 @on_lake("prv_6_scan_scope")
 def _(k: Lake) -> DataFrame:
     return privacy.pattern_counts(k.silver_tables())

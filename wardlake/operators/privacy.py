@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,6 +15,9 @@ from wardlake.sources.tables import static_table, union_all
 Tables = Mapping[str, DataFrame]
 
 SAMPLE_SIZE = 5
+# Matches of a cell are folded into so many slots to find how far to look for samples.
+SAMPLE_SLOTS = 256
+CELL = ["table_name", "column_name", "pattern_name"]
 
 # The governed Silver columns in audit order, each as table, column,
 # classification, publishable by default, and rationale.
@@ -685,6 +689,26 @@ def pattern_counts(
     return union_all(parts)
 
 
+def matches_by_cell(table: str, rows: DataFrame, columns: list[str], *more: str) -> DataFrame:
+    """(cell, more, match): every match of every pattern in the columns of a table."""
+    hits = F.array(
+        *[
+            F.struct(
+                F.lit(column).alias("column_name"),
+                F.lit(name).alias("pattern_name"),
+                pattern_matches(F.col(column), name).alias("matches"),
+            )
+            for column in columns
+            for name in PATTERNS
+        ]
+    )
+    return (
+        rows.select(*more, F.inline(hits))
+        .filter(F.size("matches") > 0)
+        .select(F.lit(table).alias("table_name"), *CELL[1:], *more, F.explode("matches").alias("match"))
+    )
+
+
 def pattern_samples(
     silver: Tables,
     sample_size: int = SAMPLE_SIZE,
@@ -695,58 +719,114 @@ def pattern_samples(
     Matches are made distinct before they are ranked, and the rank limit is
     applied inside every task before the exchange.
     """
-    parts = []
-    for table, columns in (scope or scan_scope(silver)).items():
-        if not columns:
-            continue
-        hits = F.array(
-            *[
-                F.struct(
-                    F.lit(column).alias("column_name"),
-                    F.lit(name).alias("pattern_name"),
-                    pattern_matches(F.col(column), name).alias("matches"),
-                )
-                for column in columns
-                for name in PATTERNS
-            ]
-        )
-        parts.append(
-            silver[table]
-            .select(F.inline(hits))
-            .filter(F.size("matches") > 0)
-            .select(
-                F.lit(table).alias("table_name"),
-                "column_name",
-                "pattern_name",
-                F.explode("matches").alias("match"),
-            )
-        )
-    cell = ["table_name", "column_name", "pattern_name"]
+    parts = [
+        matches_by_cell(table, silver[table], columns)
+        for table, columns in (scope or scan_scope(silver)).items()
+        if columns
+    ]
     ranked = (
         union_all(parts)
         .distinct()
-        .withColumn("rank", F.row_number().over(Window.partitionBy(*cell).orderBy("match")))
+        .withColumn("rank", F.row_number().over(Window.partitionBy(*CELL).orderBy("match")))
         .filter(F.col("rank") <= sample_size)
     )
-    return ranked.groupBy(*cell).agg(
+    return ranked.groupBy(*CELL).agg(
         F.array_sort(F.collect_list("match")).alias("sample_matches")
     )
 
 
-def pattern_findings(silver: Tables, sample_size: int = SAMPLE_SIZE) -> DataFrame:
+def with_row_place(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``rows`` with ``row_place``: the columns ``by`` or, without any, the file a row is
+    stored in, by path, and its number there. Rows that are not read from files are
+    numbered as they come."""
+    if by:
+        return rows.select("*", F.struct(*by).alias("row_place"))
+    try:
+        stored = F.struct("_metadata.file_path", "_metadata.row_index")
+        return rows.select("*", stored.alias("row_place"))
+    except AnalysisException:
+        coming = F.struct(
+            F.lit("").alias("file_path"), F.monotonically_increasing_id().alias("row_index")
+        )
+        return rows.select("*", coming.alias("row_place"))
+
+
+def encountered_samples(
+    silver: Tables,
+    sample_size: int = SAMPLE_SIZE,
+    scope: Mapping[str, list[str]] | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """The first distinct matches in the order of the columns ``by``, or without any in
+    which the tables store their rows, and in text order inside a row, per table, column
+    and pattern.
+
+    Matches are dealt to ``SAMPLE_SLOTS`` slots by a hash, and only the first place
+    of each slot is folded. Up to the place where ``sample_size`` slots have begun
+    there are as many distinct matches, so none behind it is a sample; what lies
+    before it is few, and is told apart exactly. No exchange carries more than that:
+    so many slots or matches of a cell for each task.
+    """
+    parts = [
+        matches_by_cell(table, with_row_place(silver[table], by), columns, "row_place")
+        for table, columns in (scope or scan_scope(silver)).items()
+        if columns
+    ]
+    seen = union_all(parts).select(*CELL, "match", F.struct("row_place", "match").alias("place"))
+    by_place = Window.partitionBy(*CELL).orderBy("place")
+    slot = F.pmod(F.xxhash64("match"), F.lit(SAMPLE_SLOTS)).alias("slot")
+    # One row per scanned cell, so this may be broadcast.
+    limits = (
+        seen.groupBy(*CELL, slot)
+        .agg(F.min("place").alias("place"))
+        .withColumn("begun", F.row_number().over(by_place))
+        .filter(F.col("begun") == sample_size)
+        .select(*CELL, F.col("place").alias("limit"))
+    )
+    near = seen.join(F.broadcast(limits), CELL, "left").filter(
+        F.col("limit").isNull() | (F.col("place") <= F.col("limit"))
+    )
+    ranked = (
+        near.groupBy(*CELL, "match")
+        .agg(F.min("place").alias("place"))
+        .withColumn("rank", F.row_number().over(by_place))
+        .filter(F.col("rank") <= sample_size)
+    )
+    listed = F.array_sort(F.collect_list(F.struct("rank", "match")))
+    return ranked.groupBy(*CELL).agg(listed["match"].alias("sample_matches"))
+
+
+def samples_in(
+    order: str | Sequence[str],
+    silver: Tables,
+    sample_size: int,
+    scope: Mapping[str, list[str]] | None = None,
+) -> DataFrame:
+    """Samples by ``"text"``, as rows are ``"stored"``, or by columns of the tables."""
+    if order == "text":
+        return pattern_samples(silver, sample_size, scope)
+    return encountered_samples(silver, sample_size, scope, () if order == "stored" else order)
+
+
+def pattern_findings(
+    silver: Tables, sample_size: int = SAMPLE_SIZE, order: str | Sequence[str] = "text"
+) -> DataFrame:
     """Cells with matches: row count and a few sample matches.
 
-    The samples are the first matches in text order: rows of a distributed table
-    have no order of their own, and so reruns agree.
+    The samples are the first matches in text order, which is the same in every run,
+    with ``order="stored"`` the first that a reader of the tables encounters, or the
+    first in order of columns that are named.
     """
     counts = pattern_counts(silver).filter(F.col("match_count") > 0)
-    samples = pattern_samples(silver, sample_size)
-    cell = ["table_name", "column_name", "pattern_name"]
-    return counts.join(samples, cell, "left")
+    samples = samples_in(order, silver, sample_size)
+    return counts.join(samples, CELL, "left")
 
 
 def findings_where_counted(
-    silver: Tables, counts: DataFrame, sample_size: int = SAMPLE_SIZE
+    silver: Tables,
+    counts: DataFrame,
+    sample_size: int = SAMPLE_SIZE,
+    order: str | Sequence[str] = "text",
 ) -> DataFrame | None:
     """Findings from stored counts: only text columns with a hit are re-read.
 
@@ -759,8 +839,8 @@ def findings_where_counted(
         scope.setdefault(row["table_name"], []).append(row["column_name"])
     if not scope:
         return None
-    samples = pattern_samples(silver, sample_size, scope)
-    return hits.join(samples, ["table_name", "column_name", "pattern_name"], "left")
+    samples = samples_in(order, silver, sample_size, scope)
+    return hits.join(samples, CELL, "left")
 
 
 def privacy_verdict(counts: DataFrame) -> DataFrame:
