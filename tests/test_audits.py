@@ -194,8 +194,10 @@ def test_samples_of_rows_that_are_not_stored_come_in_their_order(silver_of):
 
 def test_samples_in_the_order_of_a_column(silver_of):
     rows = [("b", "300-12-3456"), ("c", "100-12-3456 300-12-3456"), ("a", "500-12-3456"), ("d", None)]
-    tables = silver_of(observation=[{"observation_id": i, "value": v} for i, v in rows])
-    row = privacy.pattern_findings(tables, 3, order=["observation_id"]).first()
+    tables = silver_of(
+        observation=[{"bronze_resource_id": i, "value": v} for i, v in rows]
+    )
+    row = privacy.pattern_findings(tables, 3, order=["bronze_resource_id"]).first()
     assert row.sample_matches == ["500-12-3456", "300-12-3456", "100-12-3456"]
 
 
