@@ -764,8 +764,9 @@ def encountered_samples(
     Matches are dealt to ``SAMPLE_SLOTS`` slots by a hash, and only the first place
     of each slot is folded. Up to the place where ``sample_size`` slots have begun
     there are as many distinct matches, so none behind it is a sample; what lies
-    before it is few, and is told apart exactly. No exchange carries more than that:
-    so many slots or matches of a cell for each task.
+    before it is few, and is told apart exactly. Where fewer slots begin, a cell has as
+    good as surely fewer distinct matches than samples, and all are looked at. A task
+    sends one row for each slot or remaining match of a cell.
     """
     parts = [
         matches_by_cell(table, with_row_place(silver[table], by), columns, "row_place")
