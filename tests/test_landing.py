@@ -1,11 +1,16 @@
-"""Source files the harness lands."""
+"""Source files the harness lands: order of lines, and the landing without dangling links."""
 
 import gzip
+import os
+import re
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.harness.stage import write_landing
+from wardlake.harness.stage import Lake, write_landing
+
+SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture()
@@ -32,3 +37,24 @@ def test_lines_keep_their_order_when_sorts_spill(spark, folder, small_sorts):
         with gzip.open(f"{folder}/landing/{name}.ndjson.gz", "rt") as found:
             keys = [int(line) for line in found]
         assert keys == [k for k in range(20_000) if k % 3 in rest]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_long_chains_of_ingredients_leave_no_dangling_link(spark, folder):
+    for name in os.listdir(SF):
+        if name != "part.parquet":
+            shutil.copy(f"{SF}/{name}", folder)
+    # Medications 40 to 61 each name the next one, and 61 one that does not exist.
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    size = F.when(F.col("p_partkey").between(40, 61), F.lit(5)).otherwise(F.lit(1))
+    part.withColumn("p_size", size.cast("int")).write.parquet(f"{folder}/part.parquet")
+    lines = Lake(spark, folder)._resolving_lines().collect()
+    values = [row["value"] for row in lines]
+    ids = {re.search(r'"id":"([^"]*)"', value).group(1) for value in values}
+    tails = {
+        tail
+        for value in values
+        for tail in re.findall(r'"[^"]*(?:Patient|Encounter|Medication|MedicationRequest)/([^"/]*)"', value)
+    }
+    assert tails <= ids
+    assert "m-62" in ids and not ids & {f"m-{k}" for k in range(40, 62)}
