@@ -1,10 +1,11 @@
 import gzip
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from wardlake.sources import bronze, ndjson, tables
+from wardlake.sources import bronze, ndjson, staging, tables
 
 
 def lines_of(spark, folder):
@@ -241,3 +242,29 @@ def test_interrupted_publication_is_undone(spark, folder):
     with replacing(spark, path) as ready:
         spark.range(5).write.parquet(ready)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_large_sources_are_landed_without_a_shuffle(spark, folder, write_gz, monkeypatch):
+    """Files of some size are written by the task that reads them, neither dealt out anew
+    nor sorted, and all rows are in Bronze."""
+    kinds = ["Patient", "Encounter", "Observation"]
+    for i in range(20):
+        rows = [{"resourceType": kinds[n % 3], "id": f"{i}-{n}"} for n in range(60)]
+        write_gz(f"{folder}/F{i}.ndjson.gz", rows)
+    monkeypatch.setattr(bronze, "LARGE_FILE", 1)
+    seen = []
+    write = DataFrameWriter.parquet
+
+    def written(writer, path, *args, **kwargs):
+        plan = writer._df._jdf.queryExecution().optimizedPlan().toString()
+        seen.append((plan, spark.conf.get(staging.OPEN_WRITERS)))
+        return write(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", written)
+    before = spark.conf.get(staging.OPEN_WRITERS)
+    done = run_bronze(spark, folder)
+    assert spark.conf.get(staging.OPEN_WRITERS) == before
+    assert "Rebalance" not in seen[0][0] and int(seen[0][1]) > 0
+    out = bronze.read_bronze(spark, f"{folder}-out")
+    counts = {r["resource_type"]: r["count"] for r in out.groupBy("resource_type").count().collect()}
+    assert done.total_rows == 1200 and counts == {kind: 400 for kind in kinds}
