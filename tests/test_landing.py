@@ -4,11 +4,14 @@ import gzip
 import os
 import re
 import shutil
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.harness.stage import Lake, write_landing
+from wardlake.harness import testbed
+from wardlake.harness.stage import RESOURCE_TYPES, Lake, write_landing
+from wardlake.sources.tables import run_together
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,3 +61,38 @@ def test_long_chains_of_ingredients_leave_no_dangling_link(spark, folder):
     }
     assert tails <= ids
     assert "m-62" in ids and not ids & {f"m-{k}" for k in range(40, 62)}
+
+
+def test_tables_are_built_side_by_side(spark):
+    """The build of one table does not wait for that of another."""
+    lake, both = Lake(spark, SF), threading.Barrier(2, timeout=20)
+    run_together({name: lambda name=name: lake._once(name, both.wait) for name in "ab"})
+    lake._once("a", both.wait)  # built already: nothing waits
+
+
+def test_parts_of_a_family_from_several_tables_are_all_landed(spark, folder):
+    lines = [
+        spark.range(n, n + 50, 1, 2).select(
+            F.lit("MimicA.ndjson.gz").alias("source_file"), F.col("id").cast("string").alias("value")
+        )
+        for n in (0, 50)
+    ]
+    write_landing(spark, lines, f"{folder}/landing")
+    assert len(os.listdir(f"{folder}/landing")) >= 4
+    found = spark.read.option("pathGlobFilter", "*.ndjson.gz").text(f"{folder}/landing")
+    assert sorted(int(r[0]) for r in found.collect()) == list(range(100))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("kind", RESOURCE_TYPES)
+def test_rendering_stays_compilable(spark, kind):
+    """The JVM interprets methods above 8000 bytes of code: keep below."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (testbed.bronze_of(spark, SF, kind), testbed.source_lines(spark, SF, kind)):
+            execution = df.select("*")._jdf.queryExecution()
+            text = spark._jvm.PythonSQLUtils.explainString(execution, "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+            assert sizes and max(sizes) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
