@@ -130,11 +130,13 @@ def exact_duplicates(docs: DataFrame, key_bits: int = KEY_BITS) -> DataFrame:
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they are (see above)."""
-    kept = exact_duplicates(docs).filter("kept").select("keep_id", "text_sha256")
+    key = F.struct("digest", "doc_id")
+    kept = exact_duplicates(docs).filter("kept").select(
+        F.struct(F.col("text_sha256").alias("digest"), F.col("keep_id").alias("doc_id")).alias("key")
+    )
     rows = docs.select(
         F.sha2(normalised(), 256).alias("digest"), "doc_id", F.struct(*docs.columns).alias("row")
     )
-    same = (F.col("digest") == F.col("text_sha256")) & F.col("doc_id").eqNullSafe(
-        F.col("keep_id")
-    )
-    return rows.join(kept, same).dropDuplicates(["digest", "doc_id"]).select("row.*")
+    # By one key, of which no part is joined on alone: whole rows are exchanged once.
+    distinct = rows.select(key.alias("key"), "row").dropDuplicates(["key"])
+    return distinct.join(kept, "key", "left_semi").select("row.*")
